@@ -37,22 +37,27 @@ from .rules import (
 class Plan:
     stages: list  # list of list[(alias, expr)]; each stage keeps prior columns
     final: list   # list[(alias, expr)]
+    attribution: dict  # field -> 1-based index of the rule that produced it
 
 
-def _is_three_group(pattern: str) -> bool:
-    # consignee rules with (address, city line, name) groups
-    return not pattern.endswith(")") or "(?=" not in pattern
+def _first_index(d, conds):
+    """1-based index of the first true condition, NULL when none is."""
+    if not conds:
+        return d.when([(d.lit(False), d.lit(0))])
+    return d.when([(c, d.lit(i)) for i, c in enumerate(conds, start=1)])
 
 
-def build(d, rs: RuleSet, text: str = "text") -> Plan:
+def build(d, rs: RuleSet, text: str = "text", prefix: str = "") -> Plan:
+    """Staged expressions for ``rs``; ``prefix`` namespaces the bound columns
+    so that several rule sets can be evaluated in one projection."""
     T = d.col(text)
     s1: list = []
     s2: list = []
     fin: list = []
 
     def bind(stage, alias, expr):
-        stage.append((alias, expr))
-        return d.col(alias)
+        stage.append((prefix + alias, expr))
+        return d.col(prefix + alias)
 
     # ---- stage 1: raw captures -------------------------------------------
     bol = [bind(s1, f"_bol{i}", d.rx(T, p)) for i, p in enumerate(rs.bol)]
@@ -199,8 +204,25 @@ def build(d, rs: RuleSet, text: str = "text") -> Plan:
     out["reference_number"] = (d.strip(d.coalesce(*[d.nz(c) for c in rf])) if rf else d.null_str())
 
     for f in FIELDS:
-        fin.append((f, out[f]))
-    return Plan(stages=[s1, s2], final=fin)
+        fin.append((prefix + f, out[f]))
+
+    # which rule produced each field (the diagnostics' question)
+    hit = lambda c: d.ne(c, d.lit(""))
+    attrib = {
+        "bol_number": _first_index(d, [hit(c) for c in bol]),
+        "shipper_name": (d.when([(d.not_null(site), d.lit(0))], _first_index(d, [hit(c) for c in shp]))
+                         if site is not None else _first_index(d, [hit(c) for c in shp])),
+        "consignee_name": _first_index(d, [hit(a) for _, a, _ in con]),
+        "carrier_name": _first_index(d, [d.and_(d.ne(v, d.lit("")), d.not_(
+            d.startswith_any(d.lower(v), rs.carrier_reject_prefixes))) for v in carv]),
+        "total_weight": _first_index(d, [d.gt(v, d.lit(WEIGHT_MIN_EXCLUSIVE)) for v in wv]),
+        "total_pieces": _first_index(d, [d.and_(d.gt(v, d.lit(PIECES_MIN_EXCLUSIVE)),
+                                                d.lt(v, d.lit(PIECES_MAX_EXCLUSIVE))) for v in pv]),
+        "freight_charges": _first_index(d, [d.not_null(v) for v in fv]),
+        "commodity_description": _first_index(d, [hit(c) for c in cm]),
+        "reference_number": _first_index(d, [hit(c) for c in rf]),
+    }
+    return Plan(stages=[s1, s2], final=fin, attribution=attrib)
 
 
 def extracted_count(d, fields=FIELDS):

@@ -77,7 +77,8 @@ def _text(d) -> object:
         d.concat(lit("Total Weight: "), d.to_str(W), lit(" lbs")),
         d.concat(lit("Total Count: "), N),
         d.concat(lit("Part#: "), d.to_str(c("p_partkey")), lit(" "), COMM),
-        d.concat(lit("Ref # "), K))
+        d.concat(lit("Ref # "), K),
+        d.concat(lit("Deliver to PLAINFIELD yard "), N))
     v3 = d.join_lines(
         d.concat(lit("Load ID: "), L), d.concat(lit("Order: "), ORD),
         lit("Site:"), lit("   "),
@@ -108,6 +109,8 @@ def _text(d) -> object:
         d.concat(lit("Total Charges: $"), FC),
         d.concat(lit("$"), FC, lit(" total due")),
         d.concat(lit("Origin: "), NAT), CUS,
+        lit("LITTLE FALLS DISTRIBUTION CENT"),
+        lit("Address:"), d.concat(K, lit(" MILL ROAD")), lit("LITTLE FALLS, NY 13365"),
         d.concat(lit("Reference")))
     v6 = lit("")
     v7 = d.join_lines(

@@ -10,3 +10,93 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the parquet scan."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+# --- S9: surrogate keys ----------------------------------------------------------
+def assign_ids(df: DataFrame, order_by: str, start=1, id_col: str = "id") -> DataFrame:
+    """Dense ids ``start, start+1, …`` in ``order_by`` order, without a global window.
+
+    The input is range-partitioned by ``order_by`` (a sampled, parallel sort)
+    and checkpointed to the shared checkpoint folder, so the two passes below
+    see identical partitions even after an executor loss.  Pass 1 counts rows
+    per partition (one small row per partition); pass 2 adds the partition's
+    offset to the row's position inside its partition.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql import Window
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    sorted_ = df.orderBy(order_by).checkpoint(eager=True)
+    tagged = sorted_.select("*", F.spark_partition_id().alias("_pid"),
+                            F.monotonically_increasing_id().alias("_mid"))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: bounded by the partition count, safe to broadcast
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    start_col = start if hasattr(start, "alias") else F.lit(start)
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .select(*[c for c in df.columns],
+                    (start_col + F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+                    .cast("bigint").alias(id_col)))
+
+
+def next_id(existing: DataFrame | None, id_col: str = "id"):
+    """First free id of an IDENTITY column (1 for an empty/new table)."""
+    from pyspark.sql import functions as F
+    if existing is None:
+        return F.lit(1).cast("bigint")
+    return existing.select(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
+
+
+# --- S10 / S11: idempotent schema setup -------------------------------------------
+def ensure_columns(df: DataFrame, required, defaults: dict | None = None) -> tuple[DataFrame, int]:
+    """Add every column of ``required`` (a StructType) missing from ``df``.
+
+    Returns the widened DataFrame and the number of columns added.  Added
+    columns take ``defaults[name]`` (cast to the column type) or NULL.
+    """
+    from pyspark.sql import functions as F
+    defaults = defaults or {}
+    have = {c.lower() for c in df.columns}
+    added = 0
+    for f in required.fields:
+        if f.name.lower() not in have:
+            v = defaults.get(f.name)
+            df = df.withColumn(f.name, (F.lit(v) if v is not None else F.lit(None)).cast(f.dataType))
+            added += 1
+    return df, added
+
+
+def apply_defaults(df: DataFrame, defaults: dict) -> DataFrame:
+    """Column defaults for values not supplied (NULL → default)."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.coalesce(F.col(c), F.lit(defaults[c]).cast(df.schema[c].dataType)).alias(c)
+                       if c in defaults else F.col(c) for c in df.columns])
+
+
+# --- S5 / S6 / S7: sinks ---------------------------------------------------------
+def append_table(df: DataFrame, path: str, partition_by: list | None = None) -> None:
+    """Partition-parallel bulk append (one commit per job, not per row)."""
+    w = df.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def append_csv_log(df: DataFrame, path: str) -> None:
+    """CSV log: append; every part file carries its header line."""
+    df.write.mode("append").option("header", True).csv(path)
+
+
+def read_csv_log(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
+def schema_audit(df: DataFrame, expected) -> DataFrame:
+    """How many of the expected columns the table has (n of N)."""
+    from pyspark.sql import functions as F
+    have = {c.lower() for c in df.columns}
+    present = sum(1 for c in expected if c.lower() in have)
+    return df.sparkSession.range(1).select(F.lit(present).alias("present"),
+                                           F.lit(len(expected)).alias("expected"))
