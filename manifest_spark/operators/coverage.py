@@ -50,8 +50,18 @@ def _matches_sql(group, no, pattern, shown, ignorecase=True):
 def pattern_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, rule_group, rule_no, n_matches, matches): one row per doc and pattern."""
     T = F.col("text")
-    arr = F.array(*[_matches_struct(T, g, i, p, s) for g, i, p, s in diag_rules()])
-    return docs.select("doc_id", F.inline(arr))
+    rules = diag_rules()
+    # bind each find-all once; the generator below only references columns
+    bound = docs.select("doc_id", *[
+        F.regexp_extract_all(T, F.lit(rx.java(p)), F.lit(1)).alias(f"_m{k}")
+        for k, (g, i, p, s) in enumerate(rules)])
+    arr = F.array(*[
+        F.struct(F.lit(g).alias("rule_group"), F.lit(i).alias("rule_no"),
+                 F.size(f"_m{k}").alias("n_matches"),
+                 F.array_join(F.col(f"_m{k}") if s is None else F.slice(f"_m{k}", 1, s), SEP)
+                 .alias("matches"))
+        for k, (g, i, p, s) in enumerate(rules)])
+    return bound.select("doc_id", F.inline(arr))
 
 
 def pattern_matches_sql(src: str) -> str:
@@ -60,10 +70,21 @@ def pattern_matches_sql(src: str) -> str:
 
 # --- D2 ----------------------------------------------------------------------
 def pattern_coverage(docs: DataFrame) -> DataFrame:
-    """Per pattern: documents hit and total matches, across every document."""
-    return (pattern_matches(docs).groupBy("rule_group", "rule_no")
-            .agg(F.count_if(F.col("n_matches") > 0).alias("docs_hit"),
-                 F.sum("n_matches").cast("bigint").alias("total_matches")))
+    """Per pattern: documents hit and total matches, across every document.
+
+    One global two-phase aggregate of per-pattern match counts (no explode,
+    no per-match arrays), unpivoted at the end: 19 rows.
+    """
+    T = F.col("text")
+    rules = diag_rules()
+    counts = docs.select(*[F.regexp_count(T, F.lit(rx.java(p))).alias(f"_n{k}")
+                           for k, (g, i, p, s) in enumerate(rules)])
+    agg = counts.agg(*[x for k in range(len(rules)) for x in (
+        F.count_if(F.col(f"_n{k}") > 0).alias(f"_h{k}"), F.sum(f"_n{k}").cast("bigint").alias(f"_t{k}"))])
+    arr = F.array(*[F.struct(F.lit(g).alias("rule_group"), F.lit(i).alias("rule_no"),
+                             F.col(f"_h{k}").alias("docs_hit"), F.col(f"_t{k}").alias("total_matches"))
+                    for k, (g, i, p, s) in enumerate(rules)])
+    return agg.select(F.inline(arr))
 
 
 def pattern_coverage_sql(src: str) -> str:
@@ -125,11 +146,13 @@ def date_format_census_sql(src: str) -> str:
 def candidate_fields(docs: DataFrame) -> DataFrame:
     """Matches of the not-yet-captured candidate fields, per document."""
     T = F.col("text")
-    arr = F.array(*[_matches_struct(T, "candidate", i, p, None)
-                    .withField("field", F.lit(n))
-                    for i, (n, p) in enumerate(R.CANDIDATE_FIELDS, start=1)])
-    return docs.select("doc_id", F.inline(arr)).select(
-        "doc_id", "field", "n_matches", "matches")
+    bound = docs.select("doc_id", *[
+        F.regexp_extract_all(T, F.lit(rx.java(p)), F.lit(1)).alias(f"_m{k}")
+        for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
+    arr = F.array(*[F.struct(F.lit(n).alias("field"), F.size(f"_m{k}").alias("n_matches"),
+                             F.array_join(f"_m{k}", SEP).alias("matches"))
+                    for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
+    return bound.select("doc_id", F.inline(arr))
 
 
 def candidate_fields_sql(src: str) -> str:
@@ -184,13 +207,17 @@ TEXT_PREVIEW_SQL = """SELECT doc_id, substring(text, 1, 500) AS preview_500,
 
 # --- D9 ----------------------------------------------------------------------
 def field_fill(records: DataFrame) -> DataFrame:
-    """Per field: documents where it was found / not found, and the fill rate."""
-    arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).isNotNull().alias("found"))
-                    for f in FIELDS])
-    per = records.select(F.inline(arr))
-    return per.groupBy("field").agg(
-        F.count_if("found").alias("found"), F.count_if(~F.col("found")).alias("not_found"),
-        F.round(F.avg(F.col("found").cast("double")), 4).alias("fill_rate"))
+    """Per field: documents where it was found / not found, and the fill rate.
+
+    One global aggregate (two counters per field), unpivoted to 15 rows.
+    """
+    agg = records.agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(F.col(f).isNotNull()).alias(f"_f{k}") for k, f in enumerate(FIELDS)])
+    arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_f{k}").alias("found"),
+                             (F.col("_n") - F.col(f"_f{k}")).alias("not_found"),
+                             F.round(F.col(f"_f{k}") / F.col("_n"), 4).alias("fill_rate"))
+                    for k, f in enumerate(FIELDS)])
+    return agg.select(F.inline(arr))
 
 
 def field_fill_sql(records_sql: str) -> str:
@@ -208,8 +235,10 @@ def rule_attribution(docs: DataFrame, rules: RuleSet = LOCAL) -> DataFrame:
     cur = docs.select("doc_id", "text")
     for stage in plan.stages:
         cur = cur.select("*", *[e.alias(a) for a, e in stage])
-    arr = F.array(*[F.struct(F.lit(f).alias("field"), e.cast("int").alias("rule_no"))
-                    for f, e in plan.attribution.items()])
+    names = list(plan.attribution)
+    cur = cur.select(*[e.cast("int").alias(f"_a{k}") for k, e in enumerate(plan.attribution.values())])
+    arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_a{k}").alias("rule_no"))
+                    for k, f in enumerate(names)])
     return cur.select(F.inline(arr)).groupBy("field", "rule_no").agg(
         F.count(F.lit(1)).alias("documents"))
 

@@ -140,6 +140,12 @@ def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(t("part"), F.col("p_partkey") == F.col("partkey"))
             .withColumn("freight", F.round("o_totalprice").cast("bigint")))
     d = SparkX()
+    # Regex extraction downstream is CPU-bound per document: pin the document
+    # partitioning to the configured shuffle width (AQE would otherwise merge
+    # the small post-join shuffle into a few tasks); on a cluster that width is
+    # the cluster's, so the documents spread over every core.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    base = base.repartition(n, "o_orderkey")
     return base.select(
         F.col("o_orderkey").alias("doc_id"),
         F.concat(F.lit("user"), F.col("o_custkey").cast("string"), F.lit("@example.com")).alias("email_from"),

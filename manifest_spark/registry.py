@@ -349,7 +349,7 @@ DOCUMENTS = "SELECT doc_id, text FROM documents"
 
 
 def _documents(spark, sf):
-    return Tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    return Tb.read_text_table(spark, sf, "documents").select("doc_id", "text")
 
 
 QUERIES["pattern_matches"] = lambda spark, sf: D.pattern_matches(_docs(spark, sf))
@@ -372,7 +372,7 @@ QUERIES["page_profile"] = lambda spark, sf: D.page_profile(S.pages_from_conversa
 ORACLE["page_profile"] = D.PAGE_PROFILE_SQL.format(pages=S.PAGES_SQL)
 QUERIES["text_preview"] = lambda spark, sf: D.text_preview(_documents(spark, sf))
 ORACLE["text_preview"] = D.TEXT_PREVIEW_SQL.format(src=DOCUMENTS)
-QUERIES["field_fill"] = lambda spark, sf: D.field_fill(_records(spark, sf))
+QUERIES["field_fill"] = lambda spark, sf: D.field_fill(_processed(spark, sf))
 ORACLE["field_fill"] = D.field_fill_sql(RECORDS)
 QUERIES["rule_attribution"] = lambda spark, sf: D.rule_attribution(_docs(spark, sf))
 ORACLE["rule_attribution"] = D.rule_attribution_sql(DOCS)

@@ -21,7 +21,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+         # text extraction is CPU-bound: keep post-shuffle partitions at least
+         # a few per core instead of letting AQE merge small shuffles into one
+         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 2 * int(cpus)))
+         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
          .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     spark = b.getOrCreate()

@@ -12,6 +12,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def read_text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A text table for regex work, split at least one task per core.
+
+    Regex extraction is CPU-bound per byte.  A scan of a few large files (or
+    one parquet row group) yields fewer splits than cores; then the rows are
+    moved once, round-robin, so every core scans a share.  Scans that are
+    already split wider — any cluster-sized input — are left as they are.
+    (Checked on the plain scan, before any shuffle, so no job is started.)
+    """
+    df = read_table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 # --- S9: surrogate keys ----------------------------------------------------------
 def assign_ids(df: DataFrame, order_by: str, start=1, id_col: str = "id") -> DataFrame:
     """Dense ids ``start, start+1, …`` in ``order_by`` order, without a global window.
