@@ -54,7 +54,8 @@ def process_batch(batch: DataFrame, batch_id: int, out_dir: str, rules: RuleSet
 def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
                  rules: RuleSet = LOCAL, run_ts: str = route.RUN_TS, available_now: bool = True):
     """Start (and for ``available_now`` run to completion) the ingest stream."""
-    src = (spark.readStream.format("binaryFile").option("pathGlobFilter", "*.eml")
+    schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+    src = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.eml")
            .load(landing_dir))
     w = (src.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda b, i: process_batch(b, i, out_dir, rules, run_ts)))
