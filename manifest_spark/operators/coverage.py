@@ -231,7 +231,7 @@ def rule_attribution(docs: DataFrame, rules: RuleSet = LOCAL) -> DataFrame:
     """Per field and rule index: how many documents got their value from it
     (index 0 = the fixed site rule, NULL = no rule produced a value)."""
     d = SparkX()
-    plan = build(d, rules, "text")
+    plan = build(d, rules, "text", lazy=False)
     cur = docs.select("doc_id", "text")
     for stage in plan.stages:
         cur = cur.select("*", *[e.alias(a) for a, e in stage])
@@ -246,7 +246,7 @@ def rule_attribution(docs: DataFrame, rules: RuleSet = LOCAL) -> DataFrame:
 def rule_attribution_sql(src: str, rules: RuleSet = LOCAL) -> str:
     from ..functions.dialect import SqlX
     d = SqlX()
-    plan = build(d, rules, "text")
+    plan = build(d, rules, "text", lazy=False)
     sql = f"SELECT doc_id, text FROM ({src}) s0"
     for stage in plan.stages:
         sql = f"SELECT *, {', '.join(d.alias(e, a) for a, e in stage)} FROM ({sql}) s"

@@ -47,9 +47,15 @@ def _first_index(d, conds):
     return d.when([(c, d.lit(i)) for i, c in enumerate(conds, start=1)])
 
 
-def build(d, rs: RuleSet, text: str = "text", prefix: str = "") -> Plan:
+def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = True) -> Plan:
     """Staged expressions for ``rs``; ``prefix`` namespaces the bound columns
-    so that several rule sets can be evaluated in one projection."""
+    so that several rule sets can be evaluated in one projection.
+
+    With ``lazy`` the stop-on-match cascades are one ``coalesce`` each, so a
+    rule is not evaluated once an earlier one matched (Spark evaluates
+    ``coalesce`` children in order).  ``lazy=False`` binds every rule's capture
+    — needed to attribute a value to its rule.
+    """
     T = d.col(text)
     s1: list = []
     s2: list = []
@@ -59,8 +65,16 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "") -> Plan:
         stage.append((prefix + alias, expr))
         return d.col(prefix + alias)
 
+    def first_match(name, pats):
+        """Captures of a stop-on-match cascade: one lazy coalesce, or one per rule."""
+        if not pats:
+            return []
+        if lazy:
+            return [bind(s1, f"_{name}", d.coalesce(*[d.nz(d.rx(T, p)) for p in pats]))]
+        return [bind(s1, f"_{name}{i}", d.rx(T, p)) for i, p in enumerate(pats)]
+
     # ---- stage 1: raw captures -------------------------------------------
-    bol = [bind(s1, f"_bol{i}", d.rx(T, p)) for i, p in enumerate(rs.bol)]
+    bol = first_match("bol", rs.bol)
 
     site = None
     if rs.site_names:
@@ -68,7 +82,7 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "") -> Plan:
         if rs.site_address:
             a1 = bind(s1, "_site_a1", d.rx(T, rs.site_address, 1))
             a2 = bind(s1, "_site_a2", d.rx(T, rs.site_address, 2))
-    shp = [bind(s1, f"_shp{i}", d.rx(T, p)) for i, p in enumerate(rs.shipper)]
+    shp = first_match("shp", rs.shipper)
 
     con = []
     for i, p in enumerate(rs.consignee):
@@ -88,8 +102,8 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "") -> Plan:
         cg1 = bind(s1, "_cg1", d.rx(T, rs.general_city, 1))
         cg2 = bind(s1, "_cg2", d.rx(T, rs.general_city, 2))
     ccon = [bind(s1, f"_ccon{i}", d.contains(T, lit)) for i, (lit, _, _) in enumerate(rs.city_contains)]
-    cm = [bind(s1, f"_cm{i}", d.rx(T, p)) for i, p in enumerate(rs.commodity)]
-    rf = [bind(s1, f"_rf{i}", d.rx(T, p)) for i, p in enumerate(rs.reference)]
+    cm = first_match("cm", rs.commodity)
+    rf = first_match("rf", rs.reference)
 
     # ---- stage 2: intermediates ------------------------------------------
     # shipper (site rule first, then the cascade only when no site was found)
@@ -207,7 +221,7 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "") -> Plan:
         fin.append((prefix + f, out[f]))
 
     # which rule produced each field (the diagnostics' question)
-    hit = lambda c: d.ne(c, d.lit(""))
+    hit = lambda c: d.and_(d.not_null(c), d.ne(c, d.lit("")))
     attrib = {
         "bol_number": _first_index(d, [hit(c) for c in bol]),
         "shipper_name": (d.when([(d.not_null(site), d.lit(0))], _first_index(d, [hit(c) for c in shp]))
