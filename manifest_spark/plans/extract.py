@@ -94,9 +94,18 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
     car = [bind(s1, f"_car{i}", d.rx(T, p)) for i, p in enumerate(rs.carrier)]
     dates = bind(s1, "_dates", d.concat_arrays(*[d.rx_all(T, p, 1) for p in rs.dates])
                  if rs.dates else d.empty_array())
-    wt = [bind(s1, f"_wt{i}", d.rx(T, p)) for i, p in enumerate(rs.weight)]
+    num = lambda p: d.try_double(d.remove(d.rx(T, p), ","))
+    if lazy:
+        # stop-on-valid cascades as one coalesce: later rules run only when needed
+        wt = fr = []
+        wv = ([bind(s1, "_wv", d.coalesce(*[
+            (lambda x: d.when([(d.gt(x, d.lit(WEIGHT_MIN_EXCLUSIVE)), x)]))(num(p)) for p in rs.weight]))]
+            if rs.weight else [])
+        fv = [bind(s1, "_fv", d.coalesce(*[num(p) for p in rs.freight]))] if rs.freight else []
+    else:
+        wt = [bind(s1, f"_wt{i}", d.rx(T, p)) for i, p in enumerate(rs.weight)]
+        fr = [bind(s1, f"_fr{i}", d.rx(T, p)) for i, p in enumerate(rs.freight)]
     pc = [bind(s1, f"_pc{i}", d.rx(T, p)) for i, p in enumerate(rs.pieces)]
-    fr = [bind(s1, f"_fr{i}", d.rx(T, p)) for i, p in enumerate(rs.freight)]
     cfix = [bind(s1, f"_cfix{i}", d.rx(T, p)) for i, (p, _, _) in enumerate(rs.fixed_cities)]
     if rs.general_city:
         cg1 = bind(s1, "_cg1", d.rx(T, rs.general_city, 1))
@@ -121,9 +130,11 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
     nd = bind(s2, "_ndates", d.size(dates))
     d1 = bind(s2, "_date1", d.element(dates, 1))
     d2 = bind(s2, "_date2", d.element(dates, 2))
-    wv = [bind(s2, f"_wv{i}", d.try_double(d.remove(c, ","))) for i, c in enumerate(wt)]
+    if not lazy:
+        wv = [bind(s2, f"_wv{i}", d.try_double(d.remove(c, ","))) for i, c in enumerate(wt)]
     pv = [bind(s2, f"_pv{i}", d.try_long(c)) for i, c in enumerate(pc)]
-    fv = [bind(s2, f"_fv{i}", d.try_double(d.remove(c, ","))) for i, c in enumerate(fr)]
+    if not lazy:
+        fv = [bind(s2, f"_fv{i}", d.try_double(d.remove(c, ","))) for i, c in enumerate(fr)]
     ctx_ship = None
     if rs.date_context:
         ctx_ship = bind(s2, "_ctx_ship", d.when(
