@@ -19,10 +19,10 @@ RECORD_COLUMNS = FIELDS + ("raw_text", "extracted_fields")
 
 
 def parse(df: DataFrame, rules: RuleSet = LOCAL, text: str = "text",
-          keep: tuple | list | None = None) -> DataFrame:
+          keep: tuple | list | None = None, lazy: bool = True) -> DataFrame:
     """Append the extracted record to ``keep`` columns (default: all but text)."""
     d = SparkX()
-    plan = plan_mod.build(d, rules, text)
+    plan = plan_mod.build(d, rules, text, lazy=lazy)
     keep = [c for c in df.columns if c != text] if keep is None else list(keep)
     cur = df.select(*keep, text)
     for stage in plan.stages:

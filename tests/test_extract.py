@@ -105,3 +105,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "extracted_fields" in df.columns
+
+
+@pytest.mark.parametrize("rs", [LOCAL, CLOUD], ids=["local", "cloud"])
+def test_lazy_cascades_equal_eager(spark, rs):
+    docs = document_text(spark, SF_SMALL).select("doc_id", "text")
+    extra = spark.createDataFrame(pd.DataFrame({"doc_id": range(10**9, 10**9 + len(QUIRKS)), "text": QUIRKS}))
+    allr = docs.unionByName(extra)
+    lazy = parse(allr, rs, keep=["doc_id"], lazy=True)
+    eager = parse(allr, rs, keep=["doc_id"], lazy=False)
+    assert lazy.exceptAll(eager).count() == 0 and eager.exceptAll(lazy).count() == 0
