@@ -200,6 +200,17 @@ def fit(docs: DataFrame, mod: int = 4, rest: int = 2, limit: int = SAMPLE_ROWS)
     return net.fold()
 
 
+def judge(texts: list[str | None], net: Folded | None) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text; ``und`` and 0 for texts without a letter, and for all if there is no network."""
+    lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    keep = [i for i, t in enumerate(texts) if net is not None and t and _LETTER.search(t)]
+    if keep:
+        which, chance = net.predict([texts[i].encode() for i in keep])
+        for i, k, p in zip(keep, which, chance):
+            lang[i], score[i] = net.languages[k], p
+    return lang, score
+
+
 def detect_language(docs: DataFrame, model: Folded | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row's whole text.
 
@@ -210,17 +221,32 @@ def detect_language(docs: DataFrame, model: Folded | None) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
 
     def run(batches):
-        net = shipped.value
         for b in chunks(batches, max_bytes=CHUNK):
-            texts = b.column("text").to_pylist()
-            keep = [i for i, t in enumerate(texts) if net is not None and t and _LETTER.search(t)]
-            lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if keep:
-                which, chance = net.predict([texts[i].encode() for i in keep])
-                for i, k, p in zip(keep, which, chance):
-                    lang[i], score[i] = net.languages[k], p
+            lang, score = judge(b.column("text").to_pylist(), shipped.value)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return src.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def with_language(docs: DataFrame, model: Folded | None, least: float) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose text has a known language with a score of ``least`` or more.
+
+    If nothing could be learned, no text can be judged and all rows with a
+    letter in their text stay.  No shuffle.
+    """
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            for part in chunks([pa.RecordBatch.from_arrays([b.column(at), pa.array(np.arange(b.num_rows))], names=["text", "row"])], max_bytes=CHUNK):
+                lang, score = judge(part.column("text").to_pylist(), shipped.value)
+                rows = part.column("row").to_numpy()[(np.array(lang) != UNKNOWN) & (score >= least)]
+                if len(rows):
+                    yield b.take(pa.array(rows))
+
+    return docs.mapInArrow(run, docs.schema)

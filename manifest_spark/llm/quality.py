@@ -19,6 +19,7 @@ EPOCHS = 3
 SEED = 7
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.1
 SCALE = 8.0
+AGAIN = (1, 2)
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\s\w]+|_+")
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -44,7 +45,8 @@ def _mix(a: np.ndarray) -> np.ndarray:
 def features(texts: list[str], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
     """Feature ids of all texts in one array, and where each text's ids end.
 
-    Word 1- and 2-grams plus shape 1- to 3-grams; n-grams do not cross texts.
+    Word 1- and 2-grams, shape 1- to 3-grams, and whether a word equals the
+    one or two places before; n-grams do not cross texts.
     """
     lists = [_TOKEN.findall(t) for t in texts]
     for k in memo.missing(set().union(*lists)):
@@ -56,7 +58,8 @@ def features(texts: list[str], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
             codes = np.array([get(t) for t in tokens], dtype=np.uint64)
             w, s = codes[:, 0], codes[:, 1]
             s2 = s[:-1] * _P + s[1:]
-            ids = np.concatenate([w, w[:-1] * _P + w[1:], s, s2, s2[:-1] * _P + s[2:] + np.uint64(3)])
+            again = np.concatenate([np.where(w[k:] == w[:-k], np.uint64(2 * k), np.uint64(2 * k + 1)) * _P for k in AGAIN if len(w) > k] + [s[:0]])
+            ids = np.concatenate([w, w[:-1] * _P + w[1:], s, s2, s2[:-1] * _P + s[2:] + np.uint64(3), again])
             out.append(_mix(ids))
             end += len(ids)
         ends.append(end)
