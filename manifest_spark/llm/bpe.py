@@ -10,7 +10,6 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +18,9 @@ from .common import Memo, chunks, texts_of
 END = "\n"  # stands for the mark of a word's end; never a symbol of a word
 NEVER = np.iinfo(np.int64).max
 
-# Latin text without the signs on which the two regex engines differ
+# Latin text, on which the pattern of Python's own regular expressions cuts as the file's does
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r -~\xa0\xa1\xab\xbf-ɏ‐-‧]*\Z")
 _FAST = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-_FULL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
 def byte_letters() -> list[str]:
@@ -36,6 +34,7 @@ class WordBPE:
     """A word-level byte BPE read from a tokenizer file: lower-cased NFC text, words cut by a pattern, marked word ends."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         mark = spec["model"]["end_of_word_suffix"]
@@ -135,7 +134,7 @@ class WordBPE:
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Token ids of words: greedy proposals stand if all adjacent pairs are compatible, other words are merged exactly."""
         letters = self.letters
-        marked = [(w if w.isascii() else "".join([letters[x] for x in w.encode()])) + END for w in words]
+        marked = [(w if w.isascii() and w.isprintable() else "".join([letters[x] for x in w.encode()])) + END for w in words]
         proposed = [self.greedy(m) for m in marked]
         size = np.array([len(p) if p else 0 for p in proposed], dtype=np.int64)
         flat = np.array([i for p in proposed if p for i in p], dtype=np.int64)
@@ -149,12 +148,17 @@ class WordBPE:
             bad[owner[1:][inner][~fits]] = True
         return [self.exact(m) if wrong else p for m, p, wrong in zip(marked, proposed, bad.tolist())]
 
+    @functools.cached_property
+    def library(self):
+        """The library's tokenizer, of which only the normalizer and the pattern are used, for other than Latin text."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
     def words(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            text = text.replace("Σ", "σ")  # lower-cased without regard to its place in a word
-        text = text.lower()
-        return _FAST.findall(text) if _PLAIN.match(text) else _FULL.findall(text)
+        if _PLAIN.match(text):
+            return _FAST.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
+        text = self.library.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def encode(self, texts: list[str], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array and the offset of each text."""
