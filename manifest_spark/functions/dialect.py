@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import regex as rx
+from ..plans.rules import RULE_GUARDS
 
 _WS = r"[\s\x1c-\x1f]"
 
@@ -110,7 +111,7 @@ class SparkX:
 
     def strip(self, x):
         """Python ``str.strip()``: all Unicode whitespace at both ends."""
-        return F.regexp_replace(x, rf"(?U)^{_WS}+|{_WS}+\z", "")
+        return F.regexp_replace(x, rf"(?U)^{_WS}+|(?<!{_WS}){_WS}+\z", "")
 
     def collapse(self, x):
         """Python ``' '.join(s.split())`` of an already stripped string."""
@@ -119,11 +120,12 @@ class SparkX:
     def remove(self, x, s: str):
         return F.replace(x, F.lit(s), F.lit(""))
 
+    # a failed cast raises and catches an exception, so that the many empty captures are kept from it
     def try_double(self, x):
-        return x.try_cast("double")
+        return F.when(x != "", x.try_cast("double"))
 
     def try_long(self, x):
-        return x.try_cast("bigint")
+        return F.when(x != "", x.try_cast("bigint"))
 
     def nz(self, x):
         """'' → NULL (a rule that did not match)."""
@@ -132,15 +134,23 @@ class SparkX:
     # -- regex ------------------------------------------------------------
     def rx(self, text, pattern: str, group: int = 1, ignorecase=True, first_match=True):
         """First match, capture ``group``; '' when there is no match."""
-        return F.regexp_extract(text, rx.java(pattern, ignorecase, first_match), group)
+        form = rx.java(pattern, ignorecase, first_match)
+        if rx.block_parts(pattern):
+            return F.array_join(F.regexp_extract_all(text, F.lit(form), F.lit(1)), "")
+        return F.regexp_extract(text, form, group)
+
+    def rx_guarded(self, text, pattern: str, group: int = 1):
+        """As ``rx``; a rule with a word that each match must hold is tried only where that word stands."""
+        guard = RULE_GUARDS.get(pattern)
+        found = self.rx(text, pattern, group)
+        return found if guard is None else F.when(self.rx_test(text, guard), found).otherwise("")
 
     def rx_all(self, text, pattern: str, group: int = 1, ignorecase=True):
         return F.regexp_extract_all(text, F.lit(rx.java(pattern, ignorecase)), F.lit(group))
 
-    def rx_count(self, text, pattern: str, ignorecase=True):
-        return F.regexp_count(text, F.lit(rx.java(pattern, ignorecase)))
-
     def rx_test(self, text, pattern: str, ignorecase=True):
+        if rx.block_parts(pattern):
+            return self.rx(text, pattern, 1, ignorecase) != ""
         return F.regexp_like(text, F.lit(rx.java(pattern, ignorecase, True)))
 
     def literal_then(self, text, value, tail: str):
@@ -150,8 +160,10 @@ class SparkX:
 
     # -- arrays -----------------------------------------------------------
     def lines(self, x):
-        """Stripped non-blank lines of ``x`` (split on '\\n')."""
-        return F.filter(F.transform(F.split(x, "\n"), self.strip), lambda s: s != "")
+        """Stripped non-blank lines of an already stripped ``x`` (split on '\\n')."""
+        blank = r"[\s\x1c-\x1f&&[^\n]]"
+        one = F.regexp_replace(x, rf"(?U)(?<!{blank}){blank}*+\n{_WS}*+", "\n")
+        return F.when(x == "", self.empty_array()).otherwise(F.split(one, "\n"))
 
     def first(self, arr):
         return F.try_element_at(arr, F.lit(1))
@@ -311,12 +323,12 @@ class SqlX:
     def rx(self, text, pattern, group=1, ignorecase=True, first_match=True):
         return f"regexp_extract({text}, {q(rx.re2(pattern, ignorecase))}, {group})"
 
+    def rx_guarded(self, text, pattern, group=1):
+        return self.rx(text, pattern, group)
+
     def rx_all(self, text, pattern, group=1, ignorecase=True):
         return f"regexp_extract_all({text}, {q(rx.re2(pattern, ignorecase))}, {group})"
 
-    def rx_count(self, text, pattern, ignorecase=True):
-        return f"len(regexp_extract_all({text}, {q(rx.re2('(' + pattern + ')', ignorecase))}, 1))"
-
     def rx_test(self, text, pattern, ignorecase=True):
         return f"regexp_matches({text}, {q(rx.re2(pattern, ignorecase))})"
 

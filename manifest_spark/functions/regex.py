@@ -1,18 +1,19 @@
 """Rule patterns → the regex dialects that evaluate them.
 
 Rules are written in Python ``re`` syntax.  Spark evaluates them with
-``java.util.regex``; the DuckDB oracle with RE2.  The translations here are
-exact (they never change which text a rule captures):
+``java.util.regex``; the DuckDB oracle with RE2.  The translations here never
+change which text a rule captures:
 
 * flags ``(?idU)`` for Java: ``d`` makes only ``\\n`` a line terminator and
   ``U`` gives Unicode classes and case folding, as in Python 3.
 * Python's ``\\s`` also matches U+001C..U+001F; Java's Unicode ``\\s`` does
   not, so they are added explicitly.
-* Block rules ``([^\\n]+(?:\\n[^\\n]+)*?)(?=END)`` recurse once per line in
-  Java (a repeated group) and overflow the stack on long texts.  They are
-  rewritten to an atomic lazy scan over single characters, which Java runs
-  iteratively: the scan stops at the first blank line or at ``END`` and the
-  rule matches only if it stopped at ``END`` — the same capture.
+* Block rules ``HEAD([^\\n]+(?:\\n[^\\n]+)*?)(?=END)`` recurse once per line in
+  Java (a repeated group), and a head whose block finds no ``END`` is followed
+  by a scan to the next blank line, again and again for each head in it.  They
+  are rewritten to an alternation for find-all (:func:`block_scan`): a head
+  with its block, whose match takes the rest of the text along, or a head
+  without, whose match takes along what can hold no head with a block.
 * Search rules that begin with a greedy class run ``([C]+`` are anchored at
   run starts with ``(?<![C])``: the leftmost match of such a rule always starts
   at a run start, and testing only run starts turns a quadratic scan of long
@@ -55,17 +56,41 @@ def _closing_paren(p: str, start: int) -> int:
     raise ValueError(f"unbalanced pattern: {p!r}")
 
 
-def _safe_blocks(p: str) -> str:
+def block_parts(p: str) -> tuple[str, str] | None:
+    """(head, end) of a block rule, None for other rules."""
     k = p.find(_BLOCK)
     if k < 0:
-        return p
+        return None
     body = k + len(_BLOCK)
-    end = _closing_paren(p, body)
-    end_la = p[body:end]
-    if not end_la.startswith(r"\n"):
-        raise ValueError(f"block end must start at a line break: {p!r}")
-    block = r"((?>[^\n][\s\S]*?(?=\n\n|" + end_la + r")))(?=" + end_la + ")"
-    return p[:k] + block + _safe_blocks(p[end + 1:])
+    close = _closing_paren(p, body)
+    end = p[body:close]
+    if not end.startswith(r"\n") or close + 1 != len(p):
+        raise ValueError(f"a block must reach to the rule's end and its end start at a line break: {p!r}")
+    return p[:k], end
+
+
+# blanks after a head's word; the pieces overlap, so that their splits are tried over and over
+_LOOSE = (r"\s*:?\s*\n?\s*", r"\s*(?::\s*)?")
+_TAILS = (_LOOSE[1], r"\s*\n\s*", r"\s*")
+
+
+def block_scan(p: str) -> str:
+    """A find-all pattern whose first groups, joined, are the first capture of block rule ``p`` (Python syntax).
+
+    The block of a head ends at the first ``END`` or blank line.  If there is
+    no ``END`` before the blank line, none is there for any later head whose
+    block starts before that blank line either.  So such a head takes along
+    the lines up to the last one with a visible sign, and of that one all but
+    its last 24 signs: every head that starts in there is followed by a visible
+    sign before the blank line, which is where its block would start.
+    """
+    head, end = block_parts(p)
+    head = head.replace(*_LOOSE)
+    word = next(head[:-len(t)] for t in _TAILS if head.endswith(t))
+    block = r"((?>[^\n][\s\S]*?(?=\n\n|" + end + r")))(?=" + end + ")"
+    lines = r"(?:[^\n]*\n(?:[^\S\n]+\n)*+(?=[^\S\n]*\S))*+"
+    inside = r"(?:[^\n]*(?=[^\n]{23}\S))?+"
+    return f"{head}{block}[\\s\\S]*+|(?={head}[^\\n]){word}{lines}{inside}"
 
 
 _RUN_START = re.compile(r"^\((\[[^\]]+\])\+")
@@ -114,12 +139,9 @@ def _python_whitespace(p: str) -> str:
 
 
 def java(p: str, ignorecase: bool = True, first_match: bool = False) -> str:
-    """Java-regex form of a Python-syntax rule pattern."""
-    q = _safe_blocks(p)
-    if first_match:
-        q = anchor_run_start(q)
-    q = _python_whitespace(q)
-    return (JAVA_FLAGS_CI if ignorecase else JAVA_FLAGS_CS) + q
+    """Java-regex form of a Python-syntax rule pattern (of a block rule: its find-all form)."""
+    q = block_scan(p) if block_parts(p) else anchor_run_start(p) if first_match else p
+    return (JAVA_FLAGS_CI if ignorecase else JAVA_FLAGS_CS) + _python_whitespace(q)
 
 
 def re2(p: str, ignorecase: bool = True) -> str:

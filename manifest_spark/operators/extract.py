@@ -1,9 +1,8 @@
-"""Field extraction: documents → shipment records (a narrow projection).
+"""Field extraction: documents → shipment records (narrow, no shuffle).
 
 ``parse(df)`` adds the 15 record fields, ``raw_text`` and ``extracted_fields``
-to a DataFrame with a text column.  It is a chain of ``select``s over native
-column expressions: no UDF, no shuffle, one whole-stage-codegen span; it
-scales with the number of input partitions.
+to a DataFrame with a text column: a chain of projections over native column
+expressions without a UDF, compiled by whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -16,26 +15,70 @@ from ..plans import extract as plan_mod
 from ..plans.rules import FIELDS, LOCAL, RuleSet
 
 RECORD_COLUMNS = FIELDS + ("raw_text", "extracted_fields")
+#: Columns that one generator makes, so that its compiled method stays small.
+GROUP = 5
+
+
+def settled(df: DataFrame, columns: list) -> DataFrame:
+    """``df`` with ``columns``, each passed through a one-row generator.
+
+    Catalyst neither pushes later filters on them below a generator nor merges
+    later projections into it, both of which would evaluate rules again and
+    again.  Nothing is stored.
+    """
+    for i in range(0, len(columns), GROUP):
+        df = df.select("*", F.inline(F.array(F.struct(*columns[i:i + GROUP]))))
+    return df
+
+
+def staged(df: DataFrame, plan) -> DataFrame:
+    """The plan's stages, each in generators of its own: a projection would be compiled into its neighbours' method."""
+    for stage in plan.stages:
+        df = settled(df, [e.alias(a) for a, e in stage])
+    return df
+
+
+# the cascades that a field's value comes from
+_SOURCES = {
+    "bol": ("bol_number",), "site_names": ("shipper_name", "shipper_address"), "shipper": ("shipper_name", "shipper_address"),
+    "consignee": ("consignee_name", "consignee_address"), "carrier": ("carrier_name",),
+    "dates": ("shipment_date", "delivery_date"), "weight": ("total_weight",), "pieces": ("total_pieces",),
+    "freight": ("freight_charges",), "fixed_cities": ("origin_city", "destination_city"),
+    "city_contains": ("origin_city", "destination_city"), "commodity": ("commodity_description",), "reference": ("reference_number",),
+}
+
+
+def only(rules: RuleSet, fields: tuple) -> RuleSet:
+    """``rules`` without the cascades that none of ``fields`` needs."""
+    off = {c: () for c, made in _SOURCES.items() if not set(made) & set(fields)}
+    if "fixed_cities" in off:
+        off["general_city"] = None
+    return rules.with_(**off)
 
 
 def parse(df: DataFrame, rules: RuleSet = LOCAL, text: str = "text",
-          keep: tuple | list | None = None, lazy: bool = True) -> DataFrame:
-    """Append the extracted record to ``keep`` columns (default: all but text)."""
+          keep: tuple | list | None = None, lazy: bool = True, fields: tuple = FIELDS, extra: tuple = ()) -> DataFrame:
+    """Append the extracted record to ``keep`` columns (default: all but text).
+
+    With fewer ``fields`` only their rules run, and there is no
+    ``extracted_fields``; ``extra`` names intermediate columns to keep (without
+    their leading line).
+    """
     d = SparkX()
-    plan = plan_mod.build(d, rules, text, lazy=lazy)
+    plan = plan_mod.build(d, only(rules, fields), text, lazy=lazy)
     keep = [c for c in df.columns if c != text] if keep is None else list(keep)
-    cur = df.select(*keep, text)
-    for stage in plan.stages:
-        cur = cur.select("*", *[e.alias(a) for a, e in stage])
-    cur = cur.select(*keep, *[e.alias(a) for a, e in plan.final],
-                     F.substring(text, 1, rules.raw_text_chars).alias("raw_text"))
-    return cur.withColumn("extracted_fields", plan_mod.extracted_count(d))
+    final = dict(plan.final)
+    cur = staged(df.select(*keep, text), plan)
+    more = [x.lstrip("_") for x in extra]
+    cur = settled(cur, [final[f].alias(f) for f in fields] + [F.col(x).alias(y) for x, y in zip(extra, more)])
+    cur = cur.select(*keep, *more, *fields, F.substring(text, 1, rules.raw_text_chars).alias("raw_text"))
+    return cur.withColumn("extracted_fields", plan_mod.extracted_count(d)) if tuple(fields) == FIELDS else cur
 
 
 def parse_sql(source_sql: str, rules: RuleSet = LOCAL, keep=("doc_id",), text: str = "text") -> str:
     """DuckDB SQL equivalent of :func:`parse` over ``source_sql``."""
     d = SqlX()
-    plan = plan_mod.build(d, rules, text)
+    plan = plan_mod.build(d, rules, text, lazy=False)  # every rule's capture: a plan unlike the engine's
     keep_s = ", ".join(keep)
     sql = f"SELECT {keep_s}, {text} FROM ({source_sql}) src"
     for stage in plan.stages:

@@ -131,13 +131,17 @@ COMMON_ERRORS_SQL = """SELECT CASE WHEN length(error_message) > 100
 
 
 # --- R5 ----------------------------------------------------------------------
-def recent_orders(orders: DataFrame, k: int = 10) -> DataFrame:
+def recent_orders(orders: DataFrame, k: int = 10, key: str = "id") -> DataFrame:
+    """The latest ``k`` orders with a BOL number, ties by falling ``key``: a top-k, no global sort.
+
+    The BOL number is whole; the other names are cut to the display's widths.
+    """
     top = (orders.where(F.col("bol_number").isNotNull())
-           .orderBy(F.col("created_date").desc(), F.col("id").desc()).limit(k))
+           .orderBy(F.col("created_date").desc(), F.col(key).desc()).limit(k))
     w = F.col("total_weight")
     return top.select(
-        "id",
-        F.substring("bol_number", 1, 12).alias("bol"),
+        key,
+        F.col("bol_number").alias("bol"),
         F.substring(F.coalesce("shipper_name", F.lit("")), 1, 19).alias("shipper"),
         F.substring(F.coalesce("consignee_name", F.lit("")), 1, 19).alias("consignee"),
         F.substring(F.coalesce("carrier_name", F.lit("")), 1, 14).alias("carrier"),
@@ -146,7 +150,7 @@ def recent_orders(orders: DataFrame, k: int = 10) -> DataFrame:
         F.date_format("created_date", "MM/dd HH:mm").alias("date"))
 
 
-RECENT_ORDERS_SQL = """SELECT id, substring(bol_number, 1, 12) AS bol,
+RECENT_ORDERS_SQL = """SELECT doc_id, bol_number AS bol,
     substring(COALESCE(shipper_name, ''), 1, 19) AS shipper,
     substring(COALESCE(consignee_name, ''), 1, 19) AS consignee,
     substring(COALESCE(carrier_name, ''), 1, 14) AS carrier,
@@ -154,7 +158,7 @@ RECENT_ORDERS_SQL = """SELECT id, substring(bol_number, 1, 12) AS bol,
          THEN format('{{:,}}', CAST(round(total_weight) AS BIGINT)) ELSE '' END AS weight,
     total_pieces AS pieces, strftime(created_date, '%m/%d %H:%M') AS date
     FROM ({orders}) o WHERE bol_number IS NOT NULL
-    ORDER BY created_date DESC, id DESC LIMIT 10"""
+    ORDER BY created_date DESC, doc_id DESC LIMIT 10"""
 
 
 # --- R6 / R7 -----------------------------------------------------------------

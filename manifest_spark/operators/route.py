@@ -5,7 +5,7 @@ a value longer than its column width makes the insert fail and the document
 is rejected.  Here that is a column expression (first violated width, in
 column order), and routing is two filters over one processed DataFrame.
 Everything stays a narrow projection except the run summary (a global
-two-phase aggregate) and id assignment (a range sort, see ``tables``).
+two-phase aggregate).
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from ..plans.rules import (
     ORDER_WIDTHS,
     REJECTION_BODY,
     REJECTION_SUBJECT_PREFIX,
+    SUCCESS_BODY,
+    SUCCESS_SUBJECT,
     RuleSet,
 )
 from .extract import parse, parse_sql
@@ -40,12 +42,11 @@ def _violation(d):
 def process(docs: DataFrame, rules: RuleSet = LOCAL, run_ts: str = RUN_TS) -> DataFrame:
     """Parse + validate: one row per document with record, status and log fields.
 
-    The result feeds several sinks and filters on ``status``; persist it (the
-    callers in this package do) so that Catalyst does not push those filters
-    into the extraction projection and evaluate every rule twice.
+    Filters on the result stay above the extraction (see ``extract.settled``),
+    so that nothing has to be stored for the several sinks that read it.
     """
     d = SparkX()
-    docs = docs.withColumn("blank_text", F.length(F.trim(F.col("text"))) == 0)
+    docs = docs.withColumn("blank_text", d.strip(F.col("text")) == "")
     rec = parse(docs, rules, keep=list(DOC_COLUMNS) + ["blank_text"])
     ts = F.lit(run_ts).cast("timestamp_ntz")
     v = _violation(d)
@@ -66,7 +67,7 @@ def process(docs: DataFrame, rules: RuleSet = LOCAL, run_ts: str = RUN_TS) -> Da
 
 def process_sql(source_sql: str, rules: RuleSet = LOCAL, run_ts: str = RUN_TS) -> str:
     d = SqlX()
-    src = f"SELECT *, length(trim(text)) = 0 AS blank_text FROM ({source_sql}) b"
+    src = f"SELECT *, regexp_full_match(text, {q(chr(92) + 's*')}) AS blank_text FROM ({source_sql}) b"
     rec = parse_sql(src, rules, keep=DOC_COLUMNS + ("blank_text",))
     ts = f"TIMESTAMP {q(run_ts)}"
     return f"""
@@ -152,20 +153,25 @@ FAIL_LINE = "❌ {name}: Processing failed"
 def success_outbox(p: DataFrame, recipient: str = NOTICE_RECIPIENT) -> DataFrame:
     """Header of the run's success notice: zero rows unless ≥1 document succeeded.
 
-    The subject counts *processed* documents, failures included.  The body's
-    lines are a separate table (:func:`success_lines`), so no single group or
-    string has to hold the whole run.
+    The subject counts *processed* documents, failures included.  ``body`` is
+    the notice's text around its lines; the lines, which stand at ``{lines}``,
+    are a separate table (:func:`success_lines`), so no single group or string
+    has to hold the whole run.
     """
     s = run_summary(p)
     return s.where(F.col("successful") > 0).select(
         F.lit("success").alias("kind"), F.lit(recipient).alias("recipient"),
-        F.concat(F.lit("BOL Processing Success - "), F.col("processed").cast("string"),
-                 F.lit(" documents processed")).alias("subject"),
+        F.replace(F.lit(SUCCESS_SUBJECT), F.lit("{n}"), F.col("processed").cast("string")).alias("subject"),
+        F.replace(F.lit("\n\n".join(SUCCESS_BODY)), F.lit("{n}"), F.col("processed").cast("string")).alias("body"),
         F.col("processed").alias("n_lines"))
 
 
 SUCCESS_OUTBOX_SQL = """SELECT 'success' AS kind, {recipient} AS recipient,
     'BOL Processing Success - ' || CAST(processed AS VARCHAR) || ' documents processed' AS subject,
+    '✅ BOL Automation Success Report' || chr(10) || chr(10) || 'Successfully processed '
+    || CAST(processed AS VARCHAR) || ' PDF document(s).' || chr(10) || chr(10) || 'Processing Summary:' || chr(10) || chr(10)
+    || chr(123) || 'lines' || chr(125) || chr(10) || chr(10) || 'All data has been inserted into the database and logged.' || chr(10) || chr(10)
+    || 'This is an automated message from your BOL processing system.' AS body,
     processed AS n_lines FROM (""" + RUN_SUMMARY_SQL + ") s WHERE successful > 0"
 
 

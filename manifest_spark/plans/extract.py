@@ -51,90 +51,109 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
     """Staged expressions for ``rs``; ``prefix`` namespaces the bound columns
     so that several rule sets can be evaluated in one projection.
 
-    With ``lazy`` the stop-on-match cascades are one ``coalesce`` each, so a
-    rule is not evaluated once an earlier one matched (Spark evaluates
-    ``coalesce`` children in order).  ``lazy=False`` binds every rule's capture
-    — needed to attribute a value to its rule.
+    With ``lazy`` each step of a cascade is a projection of its own that holds
+    the value so far and evaluates the next rule only where there is none yet.
+    Every regex so stands once in the plan, and each projection is compiled to
+    a method of its own.  ``lazy=False`` binds every rule's capture, which is
+    needed to attribute a value to its rule.
     """
     T = d.col(text)
-    s1: list = []
+    stages: list = []
     s2: list = []
     fin: list = []
 
     def bind(stage, alias, expr):
-        stage.append((prefix + alias, expr))
+        while isinstance(stage, int) and len(stages) <= stage:
+            stages.append([])
+        (stages[stage] if isinstance(stage, int) else stage).append((prefix + alias, expr))
         return d.col(prefix + alias)
 
-    def first_match(name, pats):
-        """Captures of a stop-on-match cascade: one lazy coalesce, or one per rule."""
-        if not pats:
-            return []
-        if lazy:
-            return [bind(s1, f"_{name}", d.coalesce(*[d.nz(d.rx(T, p)) for p in pats]))]
-        return [bind(s1, f"_{name}{i}", d.rx(T, p)) for i, p in enumerate(pats)]
-
-    # ---- stage 1: raw captures -------------------------------------------
-    bol = first_match("bol", rs.bol)
-
+    def blank(c):
+        return d.eq(c, d.lit(""))
+
+    def first_match(name, pats, unless=None):
+        """Captures of a stop-on-match cascade: the first one, or one per rule."""
+        if not lazy:
+            return [bind(0, f"_{name}{i}", d.rx(T, p)) for i, p in enumerate(pats)]
+        got = None
+        for i, p in enumerate(pats):
+            e = d.rx_guarded(T, p)
+            if i == 0 and unless is not None:
+                e = d.when([(unless, d.lit(""))], e)
+            got = bind(2 * i, f"_{name}{i}", e if i == 0 else d.when([(blank(got), e)], got))
+        if unless is not None and len(pats) > 1:
+            got = d.when([(d.not_(unless), got)], d.lit(""))
+        return [got] if pats else []
+
+    def first_valid(name, pats, value):
+        """Checked values of a stop-on-valid cascade, NULL where a rule's capture fails its check."""
+        if not lazy:
+            return [bind(1, f"_{name}v{i}", value(bind(0, f"_{name}{i}", d.rx(T, p)))) for i, p in enumerate(pats)]
+        got = None
+        for i, p in enumerate(pats):
+            e = d.rx_guarded(T, p)
+            raw = bind(2 * i, f"_{name}{i}", e if i == 0 else d.when([(d.is_null(got), e)]))
+            got = bind(2 * i + 1, f"_{name}v{i}", value(raw) if i == 0 else d.coalesce(got, value(raw)))
+        return [got] if pats else []
+
+    def groups(name, pattern, wanted, stage, when=None):
+        """Several groups of one scan: the whole match is bound, its groups are taken from that short text."""
+        if not lazy:
+            return [bind(0, f"_{name}{g}", d.rx(T, pattern, g)) for g in wanted]
+        e = d.rx_guarded(T, pattern, 0)
+        whole = bind(stage, f"_{name}", e if when is None else d.when([(when, e)], d.lit("")))
+        return [bind(stage + 1, f"_{name}{g}", d.rx(whole, pattern, g)) for g in wanted]
+
+    # ---- captures, rule by rule --------------------------------------------
     site = None
     if rs.site_names:
-        site = bind(s1, "_site", d.when([(d.contains(T, n), d.lit(n)) for n in rs.site_names]))
+        site = bind(0, "_site", d.when([(d.contains(T, n), d.lit(n)) for n in rs.site_names]))
         if rs.site_address:
-            a1 = bind(s1, "_site_a1", d.rx(T, rs.site_address, 1))
-            a2 = bind(s1, "_site_a2", d.rx(T, rs.site_address, 2))
-    shp = first_match("shp", rs.shipper)
+            a1, a2 = groups("site_a", rs.site_address, (1, 2), 1, d.not_null(site))
+    bol = first_match("bol", rs.bol)
+    shp = first_match("shp", rs.shipper, None if site is None or not lazy else d.or_(*[d.contains(T, n) for n in rs.site_names]))
 
     con = []
+    open_ = None
     for i, p in enumerate(rs.consignee):
         if "(?=" in p:
-            con.append(("block", bind(s1, f"_con{i}", d.rx(T, p, 1)), None))
+            e = d.rx_guarded(T, p) if lazy else d.rx(T, p)
+            a = bind(2 * i if lazy else 0, f"_con{i}", e if open_ is None or not lazy else d.when([(open_, e)], d.lit("")))
+            con.append(("block", a, None))
         else:
-            con.append(("triple", bind(s1, f"_con{i}a", d.rx(T, p, 1)),
-                        bind(s1, f"_con{i}n", d.rx(T, p, 3))))
-    car = [bind(s1, f"_car{i}", d.rx(T, p)) for i, p in enumerate(rs.carrier)]
-    dates = bind(s1, "_dates", d.concat_arrays(*[d.rx_all(T, p, 1) for p in rs.dates])
+            a, n = groups(f"con{i}_", p, (1, 3), 2 * i, open_)
+            con.append(("triple", a, n))
+        open_ = blank(a) if open_ is None else d.and_(open_, blank(a))
+    ok_carrier = lambda c: (lambda v: d.when([(d.and_(d.ne(v, d.lit("")), d.not_(
+        d.startswith_any(d.lower(v), rs.carrier_reject_prefixes))), v)]))(d.strip(c))
+    car = first_valid("car", rs.carrier, ok_carrier)
+    num = lambda c: d.try_double(d.remove(c, ","))
+    wv = first_valid("wt", rs.weight, lambda c: d.when([(d.gt(num(c), d.lit(WEIGHT_MIN_EXCLUSIVE)), num(c))]))
+    pv = first_valid("pc", rs.pieces, lambda c: d.when([(d.and_(
+        d.gt(d.try_long(c), d.lit(PIECES_MIN_EXCLUSIVE)), d.lt(d.try_long(c), d.lit(PIECES_MAX_EXCLUSIVE))), d.try_long(c))]))
+    fv = first_valid("fr", rs.freight, num)
+    dates = bind(1, "_dates", d.concat_arrays(*[d.rx_all(T, p, 1) for p in rs.dates])
                  if rs.dates else d.empty_array())
-    num = lambda p: d.try_double(d.remove(d.rx(T, p), ","))
-    if lazy:
-        # stop-on-valid cascades as one coalesce: later rules run only when needed
-        wt = fr = []
-        wv = ([bind(s1, "_wv", d.coalesce(*[
-            (lambda x: d.when([(d.gt(x, d.lit(WEIGHT_MIN_EXCLUSIVE)), x)]))(num(p)) for p in rs.weight]))]
-            if rs.weight else [])
-        fv = [bind(s1, "_fv", d.coalesce(*[num(p) for p in rs.freight]))] if rs.freight else []
-    else:
-        wt = [bind(s1, f"_wt{i}", d.rx(T, p)) for i, p in enumerate(rs.weight)]
-        fr = [bind(s1, f"_fr{i}", d.rx(T, p)) for i, p in enumerate(rs.freight)]
-    pc = [bind(s1, f"_pc{i}", d.rx(T, p)) for i, p in enumerate(rs.pieces)]
-    cfix = [bind(s1, f"_cfix{i}", d.rx(T, p)) for i, (p, _, _) in enumerate(rs.fixed_cities)]
+    cfix = [bind(0, f"_cfix{i}", d.rx(T, p)) for i, (p, _, _) in enumerate(rs.fixed_cities)]
     if rs.general_city:
-        cg1 = bind(s1, "_cg1", d.rx(T, rs.general_city, 1))
-        cg2 = bind(s1, "_cg2", d.rx(T, rs.general_city, 2))
-    ccon = [bind(s1, f"_ccon{i}", d.contains(T, lit)) for i, (lit, _, _) in enumerate(rs.city_contains)]
+        cg1, cg2 = groups("cg", rs.general_city, (1, 2), 3)
+    ccon = [bind(0, f"_ccon{i}", d.contains(T, lit)) for i, (lit, _, _) in enumerate(rs.city_contains)]
     cm = first_match("cm", rs.commodity)
     rf = first_match("rf", rs.reference)
 
-    # ---- stage 2: intermediates ------------------------------------------
+    # ---- intermediates ------------------------------------------------------
     # shipper (site rule first, then the cascade only when no site was found)
     shp_info = None
+    s3: list = []
     if shp:
         shp_info = bind(s2, "_shp_info", d.strip(d.coalesce(*[d.nz(c) for c in shp])))
-        shp_lines = bind(s2, "_shp_lines", d.lines(shp_info))
+        shp_lines = bind(s3, "_shp_lines", d.lines(shp_info))
     con_lines = []
     for i, (kind, a, n) in enumerate(con):
-        if kind == "block":
-            con_lines.append(bind(s2, f"_con{i}_lines", d.lines(d.strip(a))))
-        else:
-            con_lines.append(None)
-    carv = [bind(s2, f"_carv{i}", d.strip(c)) for i, c in enumerate(car)]
+        con_lines.append(bind(s3, f"_con{i}_lines", d.lines(bind(s2, f"_con{i}_text", d.strip(a)))) if kind == "block" else None)
     nd = bind(s2, "_ndates", d.size(dates))
     d1 = bind(s2, "_date1", d.element(dates, 1))
     d2 = bind(s2, "_date2", d.element(dates, 2))
-    if not lazy:
-        wv = [bind(s2, f"_wv{i}", d.try_double(d.remove(c, ","))) for i, c in enumerate(wt)]
-    pv = [bind(s2, f"_pv{i}", d.try_long(c)) for i, c in enumerate(pc)]
-    if not lazy:
-        fv = [bind(s2, f"_fv{i}", d.try_double(d.remove(c, ","))) for i, c in enumerate(fr)]
     ctx_ship = None
     if rs.date_context:
         ctx_ship = bind(s2, "_ctx_ship", d.when(
@@ -173,13 +192,7 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
     out["consignee_name"] = d.when(name_cases) if name_cases else d.null_str()
     out["consignee_address"] = d.when(addr_cases) if addr_cases else d.null_str()
 
-    if carv:
-        bad = rs.carrier_reject_prefixes
-        out["carrier_name"] = d.coalesce(*[
-            d.when([(d.and_(d.ne(v, d.lit("")), d.not_(d.startswith_any(d.lower(v), bad))), v)])
-            for v in carv])
-    else:
-        out["carrier_name"] = d.null_str()
+    out["carrier_name"] = d.coalesce(*car) if car else d.null_str()
 
     one = d.eq(nd, d.lit(1))
     two = d.ge(nd, d.lit(2))
@@ -218,12 +231,9 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
     out["origin_city"] = origin if origin is not None else d.null_str()
     out["destination_city"] = dest if dest is not None else d.null_str()
 
-    out["total_weight"] = (d.coalesce(*[d.when([(d.gt(v, d.lit(WEIGHT_MIN_EXCLUSIVE)), v)]) for v in wv])
-                           if wv else d.when([(d.lit(False), d.lit(0.0))]))
-    out["total_pieces"] = (d.to_int(d.coalesce(*[
-        d.when([(d.and_(d.gt(v, d.lit(PIECES_MIN_EXCLUSIVE)), d.lt(v, d.lit(PIECES_MAX_EXCLUSIVE))), v)])
-        for v in pv])) if pv else d.to_int(d.when([(d.lit(False), d.lit(0))])))
-    out["freight_charges"] = (d.coalesce(*fv) if fv else d.when([(d.lit(False), d.lit(0.0))]))
+    out["total_weight"] = d.coalesce(*wv) if wv else d.when([(d.lit(False), d.lit(0.0))])
+    out["total_pieces"] = d.to_int(d.coalesce(*pv) if pv else d.when([(d.lit(False), d.lit(0))]))
+    out["freight_charges"] = d.coalesce(*fv) if fv else d.when([(d.lit(False), d.lit(0.0))])
     out["commodity_description"] = (d.collapse(d.strip(d.coalesce(*[d.nz(c) for c in cm])))
                                     if cm else d.null_str())
     out["reference_number"] = (d.strip(d.coalesce(*[d.nz(c) for c in rf])) if rf else d.null_str())
@@ -238,16 +248,14 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
         "shipper_name": (d.when([(d.not_null(site), d.lit(0))], _first_index(d, [hit(c) for c in shp]))
                          if site is not None else _first_index(d, [hit(c) for c in shp])),
         "consignee_name": _first_index(d, [hit(a) for _, a, _ in con]),
-        "carrier_name": _first_index(d, [d.and_(d.ne(v, d.lit("")), d.not_(
-            d.startswith_any(d.lower(v), rs.carrier_reject_prefixes))) for v in carv]),
-        "total_weight": _first_index(d, [d.gt(v, d.lit(WEIGHT_MIN_EXCLUSIVE)) for v in wv]),
-        "total_pieces": _first_index(d, [d.and_(d.gt(v, d.lit(PIECES_MIN_EXCLUSIVE)),
-                                                d.lt(v, d.lit(PIECES_MAX_EXCLUSIVE))) for v in pv]),
+        "carrier_name": _first_index(d, [d.not_null(v) for v in car]),
+        "total_weight": _first_index(d, [d.not_null(v) for v in wv]),
+        "total_pieces": _first_index(d, [d.not_null(v) for v in pv]),
         "freight_charges": _first_index(d, [d.not_null(v) for v in fv]),
         "commodity_description": _first_index(d, [hit(c) for c in cm]),
         "reference_number": _first_index(d, [hit(c) for c in rf]),
     }
-    return Plan(stages=[s1, s2], final=fin, attribution=attrib)
+    return Plan(stages=[x for x in [*stages, s2, s3] if x], final=fin, attribution=attrib)
 
 
 def extracted_count(d, fields=FIELDS):

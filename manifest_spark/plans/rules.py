@@ -12,7 +12,7 @@ Java dialect that Spark evaluates.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --------------------------------------------------------------------------
 # FIXED VALUES — these must equal the values of the system we reproduce, in
@@ -200,6 +200,14 @@ SCHEMA_AUDIT_COLUMNS = (
 REJECTION_SUBJECT_PREFIX = "Order Rejected: "
 REJECTION_BODY = "Order data could not be inserted into the database. See attached PDF."
 SUCCESS_SUBJECT = "BOL Processing Success - {n} documents processed"
+SUCCESS_BODY = (
+    "✅ BOL Automation Success Report",
+    "Successfully processed {n} PDF document(s).",
+    "Processing Summary:",
+    "{lines}",
+    "All data has been inserted into the database and logged.",
+    "This is an automated message from your BOL processing system.",
+)
 # --------------------------------------------------------------------------
 # end of fixed values
 # --------------------------------------------------------------------------
@@ -238,12 +246,26 @@ class RuleSet:
     commodity: tuple = COMMODITY_RULES
     reference: tuple = REFERENCE_RULES
     raw_text_chars: int = RAW_TEXT_CHARS
-    options: dict = field(default_factory=dict, compare=False, hash=False)
 
     def with_(self, **kw) -> "RuleSet":
         return replace(self, **kw)
 
 
+# Words without which a rule cannot match: tried first, as they cost less than the rule.
+RULE_GUARDS = {
+    CARRIER_RULES[1]: "LOGISTICS|TRANSPORT|TRUCKING|FREIGHT",
+    CONSIGNEE_RULES[0]: "INDUSTRIES",
+    CONSIGNEE_RULES[1]: "Customer & Comments",
+    CONSIGNEE_RULES[2]: r"\n(?:Carrier|Date|Description)",
+    CONSIGNEE_RULES[3]: "CONSIGNEE",
+    SHIPPER_RULES[3]: r"\n(?:Consignee|To|Carrier|Date)",
+    SHIPPER_RULES[4]: "SHIPPER",
+    COMMODITY_RULES[0]: "Grade Desc:",
+    PIECES_RULES[1]: "Units",
+    GENERAL_CITY_RULE: r"[A-Z]{2}\s+\d{5}",
+    SITE_ADDRESS: "Address:",
+}
+
 LOCAL = RuleSet(name="local")
 
 CLOUD = RuleSet(

@@ -19,7 +19,7 @@ from .functions import regex as rx
 from .operators import coverage as D
 from .operators import reports as Rp
 from .operators import route as V
-from .operators.extract import parse, parse_sql
+from .operators.extract import parse, parse_sql, settled, staged
 from .plans import rules as R
 from .plans.fixtures import document_text, document_text_sql
 from .plans.rules import CLOUD, FIELDS, LOCAL, catalog_rows
@@ -60,10 +60,7 @@ def _records(spark, sf, rules=LOCAL):
 
 
 def _processed(spark, sf):
-    # the run feeds several sinks: persist it once; this also keeps routing
-    # filters from being pushed into (and re-evaluating) the extraction
-    from pyspark import StorageLevel
-    return V.process(_docs(spark, sf), LOCAL).persist(StorageLevel.MEMORY_AND_DISK)
+    return V.process(_docs(spark, sf), LOCAL)
 
 
 def _log(spark, sf):
@@ -83,7 +80,8 @@ def _field_query(name, cols):
     sel = ("doc_id",) + cols
 
     def fn(spark, sf):
-        return _records(spark, sf).select(*sel)
+        known = tuple(c for c in cols if c in FIELDS)
+        return parse(_docs(spark, sf), LOCAL, keep=["doc_id"], fields=known or FIELDS).select(*sel)
     QUERIES[name] = fn
     ORACLE[name] = f"SELECT {', '.join(sel)} FROM ({RECORDS})"
 
@@ -107,12 +105,14 @@ _field_query("extracted_fields", ("extracted_fields",))
        f"ON r.doc_id = d.doc_id WHERE strpos(d.text, {q(R.SITE_NAME)}) > 0")
 def parse_shipper_site(spark, sf):
     docs = _docs(spark, sf).where(F.instr("text", R.SITE_NAME) > 0)
-    return parse(docs, LOCAL, keep=["doc_id"]).select("doc_id", "shipper_name", "shipper_address")
+    return parse(docs, LOCAL, keep=["doc_id"], fields=("shipper_name", "shipper_address")).select(
+        "doc_id", "shipper_name", "shipper_address")
 
 
 @query("raw_text", f"SELECT doc_id, raw_text, CAST(length(raw_text) AS INTEGER) AS raw_chars FROM ({RECORDS})")
 def raw_text(spark, sf):
-    return _records(spark, sf).select("doc_id", "raw_text", F.length("raw_text").alias("raw_chars"))
+    raw = F.substring("text", 1, LOCAL.raw_text_chars)
+    return _docs(spark, sf).select("doc_id", raw.alias("raw_text"), F.length(raw).alias("raw_chars"))
 
 
 def _dates(d, rs=LOCAL):
@@ -133,8 +133,8 @@ def find_dates(spark, sf):
        f"SELECT r.doc_id, shipment_date, delivery_date FROM ({RECORDS}) r JOIN ({DOCS}) d "
        f"ON r.doc_id = d.doc_id WHERE len({_dates(_qx)}) = 1")
 def single_date_context(spark, sf):
-    docs = _docs(spark, sf).where(F.size(_dates(_sx)) == 1)
-    return parse(docs, LOCAL, keep=["doc_id"]).select("doc_id", "shipment_date", "delivery_date")
+    found = parse(_docs(spark, sf), LOCAL, keep=["doc_id"], fields=("shipment_date", "delivery_date"), extra=("_ndates",))
+    return found.where("ndates = 1").select("doc_id", "shipment_date", "delivery_date")
 
 
 @query("parse_cloud", f"SELECT {', '.join(ALL_COLS)} FROM ({parse_sql(DOCS, CLOUD)})")
@@ -155,14 +155,11 @@ def _diff_count(d, a_prefix, b_prefix):
 def rule_set_diff(spark, sf):
     """Both rule sets evaluated in one projection (no join, no shuffle)."""
     from .plans import extract as pe
-    d = _sx
     cur = _docs(spark, sf).select("doc_id", "text")
-    plans = [pe.build(d, LOCAL, "text", "l_"), pe.build(d, CLOUD, "text", "c_")]
-    for i in range(2):
-        for p in plans:
-            cur = cur.select("*", *[e.alias(a) for a, e in p.stages[i]])
-    cur = cur.select("doc_id", *[e.alias(a) for p in plans for a, e in p.final])
-    return cur.select("doc_id", _diff_count(d, "l_", "c_").alias("n_diff"))
+    for rules, prefix in ((LOCAL, "l_"), (CLOUD, "c_")):
+        plan = pe.build(_sx, rules, "text", prefix)
+        cur = settled(staged(cur, plan), [e.alias(a) for a, e in plan.final])
+    return cur.select("doc_id", _diff_count(_sx, "l_", "c_").alias("n_diff"))
 
 
 @query("batch_parse_summary",
@@ -240,30 +237,52 @@ def ingest_messages(spark, sf):
                       F.col("content").cast("string").alias("text"))
 
 
-ORDERS_SQL = (f"SELECT row_number() OVER (ORDER BY doc_id) AS id, * FROM ("
-              + V.ROUTE_ACCEPT_SQL.format(p=PROCESSED) + ") a")
+ORDER_SCHEMA = T.StructType(
+    [T.StructField("id", T.LongType()), T.StructField("doc_id", T.LongType())]
+    + [T.StructField(f, {"total_weight": T.DoubleType(), "freight_charges": T.DoubleType(),
+                         "total_pieces": T.IntegerType()}.get(f, T.StringType())) for f in FIELDS]
+    + [T.StructField("raw_text", T.StringType()), T.StructField("created_date", T.TimestampNTZType()),
+       T.StructField("updated_date", T.TimestampNTZType())])
+ORDER_LOG_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("email_from", T.StringType()),
+    T.StructField("email_subject", T.StringType()), T.StructField("attachment_name", T.StringType()),
+    T.StructField("status", T.StringType()), T.StructField("log_timestamp", T.TimestampNTZType()),
+    T.StructField("error_message", T.StringType()), T.StructField("extracted_fields", T.IntegerType())])
+
+
+def _loaded(spark, sf, sink, schema, tag):
+    """Two runs (even and odd documents) appended to one new table, read back with the run that each id tells."""
+    path = _scratch(spark, tag)
+    docs = _docs(spark, sf)
+    for rest in (0, 1):
+        start = Tb.append_table(sink(V.process(docs.where(F.col("doc_id") % 2 == rest), LOCAL)), path, schema)
+    return spark.read.schema(schema).parquet(path).withColumn("run", F.when(F.col("id") < start, 1).otherwise(2))
 
 
-def _orders(spark, sf):
-    return Tb.assign_ids(V.route_accept(_processed(spark, sf)), "doc_id", 1)
+def _run_sql(sql, columns):
+    return f"SELECT {', '.join(columns)}, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END AS run FROM ({sql}) t"
 
 
-@query("load_orders", f"SELECT id, doc_id, bol_number, total_weight, created_date FROM ({ORDERS_SQL}) o")
+ORDER_NAMES = [f.name for f in ORDER_SCHEMA.fields if f.name != "id"]
+LOG_NAMES = [f.name for f in ORDER_LOG_SCHEMA.fields if f.name != "id"]
+
+
+@query("load_orders", _run_sql(V.ROUTE_ACCEPT_SQL.format(p=PROCESSED), ORDER_NAMES))
 def load_orders(spark, sf):
-    return _orders(spark, sf).select("id", "doc_id", "bol_number", "total_weight", "created_date")
+    """All 18 order columns of two runs, appended to a table and read back; ids tell the runs apart."""
+    return _loaded(spark, sf, V.route_accept, ORDER_SCHEMA, "orders").select(*ORDER_NAMES, "run")
 
 
-@query("load_log", "SELECT row_number() OVER (ORDER BY doc_id) AS id, * FROM ("
-       + V.STATUS_LOG_SQL.format(p=PROCESSED) + ") l")
+@query("load_log", _run_sql(V.STATUS_LOG_SQL.format(p=PROCESSED), LOG_NAMES))
 def load_log(spark, sf):
-    log = V.status_log(_processed(spark, sf))
-    return Tb.assign_ids(log, "doc_id", 1).select("id", *log.columns)
+    return _loaded(spark, sf, V.status_log, ORDER_LOG_SCHEMA, "order-log").select(*LOG_NAMES, "run")
 
 
-@query("assign_ids", f"SELECT row_number() OVER (ORDER BY id) + 1000 AS new_id, id FROM ({LOG}) l")
+@query("assign_ids", f"SELECT count(*) AS row_count, count(*) AS distinct_ids, TRUE AS from_start FROM ({LOG}) l")
 def assign_ids_q(spark, sf):
-    log = _log(spark, sf).select("id")
-    return Tb.assign_ids(log, "id", 1001, id_col="new_id").select("new_id", "id")
+    ids = Tb.assign_ids(_log(spark, sf).select("status"), 1001)
+    return ids.agg(F.count(F.lit(1)).alias("row_count"), F.countDistinct("id").alias("distinct_ids"),
+                   (F.min("id") >= 1001).alias("from_start"))
 
 
 LOG_SCHEMA = T.StructType([
@@ -311,19 +330,26 @@ def column_defaults(spark, sf):
     return Tb.apply_defaults(log, {"extracted_fields": 0, "created_date": V.RUN_TS})
 
 
-@query("schema_audit", f"SELECT {len(R.SCHEMA_AUDIT_COLUMNS)} AS present, {len(R.SCHEMA_AUDIT_COLUMNS)} AS expected")
+_ACCEPTED = V.ROUTE_ACCEPT_SQL.format(p=PROCESSED)
+
+
+@query("schema_audit", "SELECT unnest([" + ", ".join(q(c) for c in R.SCHEMA_AUDIT_COLUMNS) + "]) AS column_name, TRUE AS present, unnest(["
+       + ", ".join(f"count({c})" for c in R.SCHEMA_AUDIT_COLUMNS) + f"]) AS filled, count(*) AS row_count FROM ({_ACCEPTED}) o")
 def schema_audit(spark, sf):
-    return Tb.schema_audit(V.route_accept(_processed(spark, sf)), R.SCHEMA_AUDIT_COLUMNS)
+    """The audited columns of a loaded orders table, with how many of its rows fill them."""
+    path = _scratch(spark, "audited")
+    Tb.append_table(V.route_accept(_processed(spark, sf)), path, ORDER_SCHEMA)
+    return Tb.schema_audit(spark.read.parquet(path), R.SCHEMA_AUDIT_COLUMNS)
 
 
 @query("table_counts", f"SELECT 'orders' AS table_name, count(*) AS row_count FROM ("
        + V.ROUTE_ACCEPT_SQL.format(p=PROCESSED) + ") o UNION ALL SELECT 'order_log', count(*) FROM ("
        + V.STATUS_LOG_SQL.format(p=PROCESSED) + ") l")
 def table_counts(spark, sf):
-    p = _processed(spark, sf)
-    o = V.route_accept(p).agg(F.lit("orders").alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-    lg = V.status_log(p).agg(F.lit("order_log").alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-    return o.unionByName(lg)
+    """Rows of both tables of a run: one pass over the processed documents."""
+    counts = V.run_summary(_processed(spark, sf))
+    row = lambda name, n: F.struct(F.lit(name).alias("table_name"), F.col(n).alias("row_count"))
+    return counts.select(F.inline(F.array(row("orders", "successful"), row("order_log", "processed"))))
 
 
 # ---- R: reports --------------------------------------------------------------------
@@ -339,9 +365,9 @@ for _name, _fn, _sql in (
     ORACLE[_name] = _sql.format(log=LOG)
 
 
-@query("recent_orders", Rp.RECENT_ORDERS_SQL.format(orders=ORDERS_SQL))
+@query("recent_orders", Rp.RECENT_ORDERS_SQL.format(orders=V.ROUTE_ACCEPT_SQL.format(p=PROCESSED)))
 def recent_orders(spark, sf):
-    return Rp.recent_orders(_orders(spark, sf))
+    return Rp.recent_orders(V.route_accept(_processed(spark, sf)), key="doc_id")
 
 
 # ---- D: rule-coverage analytics -----------------------------------------------------
@@ -349,7 +375,7 @@ DOCUMENTS = "SELECT doc_id, text FROM documents"
 
 
 def _documents(spark, sf):
-    return Tb.read_text_table(spark, sf, "documents").select("doc_id", "text")
+    return Tb.read_table(spark, sf, "documents").select("doc_id", "text")
 
 
 QUERIES["pattern_matches"] = lambda spark, sf: D.pattern_matches(_docs(spark, sf))
@@ -381,18 +407,17 @@ ORACLE["rule_attribution"] = D.rule_attribution_sql(DOCS)
 # ---- ST: streaming --------------------------------------------------------------------
 @query("stream_daily_report", Rp.DAILY_REPORT_ALL_SQL.format(log=LOG))
 def stream_daily_report(spark, sf):
-    """The daily report computed by a watermarked streaming aggregate over ``events``."""
+    """The daily report computed by a streaming aggregate over ``events``, one file at a time in any order."""
     from .streaming import stream as St
     ev_schema = Tb.read_table(spark, sf, "events").schema
-    ev = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
-          .option("maxFilesPerTrigger", 1).parquet(sf))
+    # a table is a file or a folder of files
+    ev = spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(sf, "events.parquet*"))
     err = F.col("event_type") == "error"
     log = ev.select(
-        # watermarks need TIMESTAMP; the session time zone is UTC, so days are unchanged
         F.date_trunc("second", F.col("ts")).cast("timestamp").alias("log_timestamp"),
         F.when(err, "rejected").otherwise("processed").alias("status"),
         F.when(err, F.lit(0)).otherwise((F.floor(F.col("value")) % 16).cast("int")).alias("extracted_fields"))
     out = _scratch(spark, "daily")
     q_ = St.start_daily_report(spark, log, out, _scratch(spark, "daily-ckpt"))
     q_.awaitTermination()
-    return St.finish_daily(spark.read.parquet(out))
+    return St.read_daily_report(spark, out)

@@ -34,9 +34,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only when unset."""
+    """The shared checkpoint folder the cluster names; a scratch one only in local mode, where all share it."""
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="manifest-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,57 +15,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def read_text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A text table for regex work, split at least one task per core.
+# --- S9: surrogate keys ----------------------------------------------------------
+def assign_ids(df: DataFrame, start=1, id_col: str = "id") -> DataFrame:
+    """Unique ascending ids from ``start`` on: the partition's number and the row's place in it, as one number.
 
-    Regex extraction is CPU-bound per byte.  A scan of a few large files (or
-    one parquet row group) yields fewer splits than cores; then the rows are
-    moved once, round-robin, so every core scans a share.  Scans that are
-    already split wider — any cluster-sized input — are left as they are.
-    (Checked on the plain scan, before any shuffle, so no job is started.)
+    A lazy projection without a sort, shuffle or checkpoint.  Ids have gaps,
+    as those of an identity column may; they are fixed once the rows are
+    written.
     """
-    df = read_table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.withColumn(id_col, (F.lit(start) + F.monotonically_increasing_id()).cast("bigint"))
 
 
-# --- S9: surrogate keys ----------------------------------------------------------
-def assign_ids(df: DataFrame, order_by: str, start=1, id_col: str = "id") -> DataFrame:
-    """Dense ids ``start, start+1, …`` in ``order_by`` order, without a global window.
-
-    The input is range-partitioned by ``order_by`` (a sampled, parallel sort)
-    and checkpointed to the shared checkpoint folder, so the two passes below
-    see identical partitions even after an executor loss.  Pass 1 counts rows
-    per partition (one small row per partition); pass 2 adds the partition's
-    offset to the row's position inside its partition.
-    """
-    from pyspark.sql import functions as F
-    from pyspark.sql import Window
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    sorted_ = df.orderBy(order_by).checkpoint(eager=True)
-    tagged = sorted_.select("*", F.spark_partition_id().alias("_pid"),
-                            F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: bounded by the partition count, safe to broadcast
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    start_col = start if hasattr(start, "alias") else F.lit(start)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .select(*[c for c in df.columns],
-                    (start_col + F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-                    .cast("bigint").alias(id_col)))
-
-
-def next_id(existing: DataFrame | None, id_col: str = "id"):
-    """First free id of an IDENTITY column (1 for an empty/new table)."""
-    from pyspark.sql import functions as F
+def next_id(existing: DataFrame | None, id_col: str = "id") -> int:
+    """First free id of a table (1 for an empty or absent one)."""
     if existing is None:
-        return F.lit(1).cast("bigint")
-    return existing.select(F.coalesce(F.max(id_col), F.lit(0)) + 1).scalar()
+        return 1
+    return (existing.agg(F.max(id_col)).first()[0] or 0) + 1
 
 
 # --- S10 / S11: idempotent schema setup -------------------------------------------
@@ -72,7 +40,6 @@ def ensure_columns(df: DataFrame, required, defaults: dict | None = None) -> tup
     Returns the widened DataFrame and the number of columns added.  Added
     columns take ``defaults[name]`` (cast to the column type) or NULL.
     """
-    from pyspark.sql import functions as F
     defaults = defaults or {}
     have = {c.lower() for c in df.columns}
     added = 0
@@ -86,33 +53,60 @@ def ensure_columns(df: DataFrame, required, defaults: dict | None = None) -> tup
 
 def apply_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     """Column defaults for values not supplied (NULL → default)."""
-    from pyspark.sql import functions as F
     return df.select(*[F.coalesce(F.col(c), F.lit(defaults[c]).cast(df.schema[c].dataType)).alias(c)
                        if c in defaults else F.col(c) for c in df.columns])
 
 
 # --- S5 / S6 / S7: sinks ---------------------------------------------------------
-def append_table(df: DataFrame, path: str, partition_by: list | None = None) -> None:
-    """Partition-parallel bulk append (one commit per job, not per row)."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None if there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``; created empty with ``schema`` if absent, columns that it lacks are read as NULL (S10)."""
+    have = existing_table(spark, path)
+    if have is None:
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)
+        return spark.read.schema(schema).parquet(path)
+    missing = [f for f in schema.fields if f.name.lower() not in {c.lower() for c in have.columns}]
+    return spark.read.schema(T.StructType(have.schema.fields + missing)).parquet(path)
+
+
+def append_table(df: DataFrame, path: str, schema: T.StructType, id_col: str = "id") -> int:
+    """Append ``df`` with ids that go on from the table's last run; creates the table if absent.
+
+    Returns the first id of this run.  One commit per call, written by all
+    partitions at once; columns follow ``schema``, missing ones are NULL.
+    """
+    start = next_id(ensure_table(df.sparkSession, path, schema), id_col)
+    full, _ = ensure_columns(assign_ids(df, start, id_col), schema)
+    full.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(path)
+    return start
+
+
+_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 
 def append_csv_log(df: DataFrame, path: str) -> None:
-    """CSV log: append; every part file carries its header line."""
-    df.write.mode("append").option("header", True).csv(path)
+    """CSV log: append; every part file carries its header line; values are quoted, with line breaks kept."""
+    df.write.mode("append").options(**_CSV, quoteAll=True).csv(path)
 
 
 def read_csv_log(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.options(**_CSV).schema(schema).csv(path)
 
 
 def schema_audit(df: DataFrame, expected) -> DataFrame:
-    """How many of the expected columns the table has (n of N)."""
-    from pyspark.sql import functions as F
-    have = {c.lower() for c in df.columns}
-    present = sum(1 for c in expected if c.lower() in have)
-    return df.sparkSession.range(1).select(F.lit(present).alias("present"),
-                                           F.lit(len(expected)).alias("expected"))
+    """Of each expected column whether the table has it, and its non-null values: one aggregate over the table's rows."""
+    have = {c.lower(): c for c in df.columns}
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(have[c.lower()]).alias("c_" + c) for c in expected if c.lower() in have])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(c.lower() in have).alias("present"),
+                              (F.col("c_" + c) if c.lower() in have else F.lit(None).cast("bigint")).alias("filled"),
+                              F.col("n").alias("row_count")) for c in expected])
+    return counts.select(F.inline(rows))

@@ -9,12 +9,14 @@
   processed — the "unread" state of the original inbox, but only advanced
   after the batch's writes succeeded.
 * ``start_daily_report`` (ST2): the daily report over a growing log, a
-  windowed aggregate with a watermark in update mode; each batch upserts its
-  updated days (dynamic overwrite of the ``day`` partitions).
+  windowed aggregate in update mode that takes rows however late they are;
+  each batch upserts its updated days (dynamic overwrite of the ``day``
+  partitions).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators import route
 from ..plans.rules import LOCAL, RuleSet
-from ..sources.ingest import pdf_attachments
+from ..sources.ingest import attachment_text, pdf_attachments, unreadable_messages
 
 
 def _overwrite_partitions(df: DataFrame, path: str, by: list) -> None:
@@ -30,43 +32,61 @@ def _overwrite_partitions(df: DataFrame, path: str, by: list) -> None:
      .partitionBy(*by).parquet(path))
 
 
+def utf8_page(content: bytes) -> list[str]:
+    """The decoder for attachments that are plain text: one page."""
+    return [content.decode("utf-8", errors="replace")]
+
+
 def process_batch(batch: DataFrame, batch_id: int, out_dir: str, rules: RuleSet = LOCAL,
-                  run_ts: str = route.RUN_TS) -> None:
-    """One micro-batch: messages → attachments → records → three sinks."""
-    att = pdf_attachments(batch)
-    docs = att.select(
-        F.concat_ws("#", "path", F.col("part_no").cast("string")).alias("doc_id"),
-        "email_from", "email_subject", "attachment_name",
-        F.expr("CAST(content AS STRING)").alias("text"))
-    p = route.process(docs, rules, run_ts).withColumn("batch_id", F.lit(batch_id))
-    p = p.persist()
+                  run_ts: str | None = None, decoder=utf8_page) -> None:
+    """One micro-batch: messages → attachments → pages → records → orders, log, notices and unreadable messages.
+
+    The run is stamped with the time at which the batch starts unless a time is
+    given.  Ids are the batch number and the row's place: unique over batches,
+    the same when a batch is replayed on the same partitions.
+    """
+    run_ts = run_ts or dt.datetime.now().isoformat(sep=" ", timespec="seconds")
+    tag = lambda df: df.withColumn("batch_id", F.lit(batch_id))
+    att = pdf_attachments(batch).withColumn("doc_id", F.concat_ws("#", "path", F.col("part_no").cast("string")))
+    docs = attachment_text(att, decoder).select("doc_id", "email_from", "email_subject", "attachment_name", "text")
+    p = route.process(docs, rules, run_ts).persist()  # six sinks; released below
     try:
-        _overwrite_partitions(route.route_accept(p).withColumn("batch_id", F.lit(batch_id)),
-                              os.path.join(out_dir, "orders"), ["batch_id"])
-        _overwrite_partitions(route.status_log(p).withColumn("batch_id", F.lit(batch_id)),
-                              os.path.join(out_dir, "order_log"), ["batch_id"])
-        _overwrite_partitions(route.rejection_outbox(p).withColumn("batch_id", F.lit(batch_id)),
-                              os.path.join(out_dir, "outbox"), ["batch_id"])
+        ids = F.concat_ws("-", F.lit(str(batch_id)), "doc_id")
+        for name, df in (("orders", route.route_accept(p).withColumn("id", ids)),
+                         ("order_log", route.status_log(p).withColumn("id", ids)),
+                         ("outbox", route.rejection_outbox(p)),
+                         ("notices", route.success_outbox(p)),
+                         ("notice_lines", route.success_lines(p)),
+                         ("unreadable", unreadable_messages(batch))):
+            _overwrite_partitions(tag(df), os.path.join(out_dir, name), ["batch_id"])
     finally:
         p.unpersist()
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
-                 rules: RuleSet = LOCAL, run_ts: str = route.RUN_TS, available_now: bool = True):
+                 rules: RuleSet = LOCAL, run_ts: str | None = None, available_now: bool = True, decoder=utf8_page):
     """Start (and for ``available_now`` run to completion) the ingest stream."""
     schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
     src = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.eml")
            .load(landing_dir))
     w = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: process_batch(b, i, out_dir, rules, run_ts)))
+         .foreachBatch(lambda b, i: process_batch(b, i, out_dir, rules, run_ts, decoder)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def daily_counts(log: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Streaming form of the per-day report (same columns as ``daily_report_all``)."""
-    g = (log.withWatermark("log_timestamp", watermark)
-         .groupBy(F.window("log_timestamp", "1 day").alias("w"))
+DAILY_SCHEMA = "total_processed BIGINT, successful BIGINT, failed BIGINT, _fields_sum DOUBLE, day DATE"
+
+
+def daily_counts(log: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Streaming form of the per-day report (same columns as ``daily_report_all``).
+
+    The state is one row a day, so rows may come late without bound; a caller
+    who wants old days dropped from the state gives a watermark.
+    """
+    if watermark is not None:
+        log = log.withWatermark("log_timestamp", watermark)
+    g = (log.groupBy(F.window("log_timestamp", "1 day").alias("w"))
          .agg(F.count(F.lit(1)).alias("total_processed"),
               F.count_if(F.col("status") == "processed").alias("successful"),
               F.count_if(F.col("status") == "rejected").alias("failed"),
@@ -87,11 +107,17 @@ def finish_daily(df: DataFrame) -> DataFrame:
 
 
 def start_daily_report(spark: SparkSession, log_stream: DataFrame, out_dir: str, checkpoint: str,
-                       available_now: bool = True):
+                       available_now: bool = True, watermark: str | None = None):
     def upsert(batch: DataFrame, batch_id: int) -> None:
         _overwrite_partitions(batch, out_dir, ["day"])
 
-    w = (daily_counts(log_stream).writeStream.outputMode("update")
+    w = (daily_counts(log_stream, watermark).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint).foreachBatch(upsert))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def read_daily_report(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The upserted days with their averages and rates; no rows if the stream had none."""
+    spark.createDataFrame([], DAILY_SCHEMA).write.mode("append").parquet(out_dir)
+    return finish_daily(spark.read.schema(DAILY_SCHEMA).parquet(out_dir))

@@ -115,3 +115,52 @@ def test_lazy_cascades_equal_eager(spark, rs):
     lazy = parse(allr, rs, keep=["doc_id"], lazy=True)
     eager = parse(allr, rs, keep=["doc_id"], lazy=False)
     assert lazy.exceptAll(eager).count() == 0 and eager.exceptAll(lazy).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["go to the\n", "go to the ", "to", "To\n\n", "From \n\t\n", "1 A DRIVE\n", "Grade Desc: x\n"])
+def test_long_texts_without_an_end_take_linear_time(spark, unit):
+    def seconds(size):
+        df = spark.createDataFrame([(1, unit * (size // len(unit)) + "\n\nCarrier")], "doc_id long, text string")
+        t0 = time.time()
+        parse(df, LOCAL, keep=["doc_id"], fields=("shipper_name", "consignee_name", "commodity_description")).collect()
+        return time.time() - t0
+
+    seconds(1000)
+    assert seconds(160_000) < 4
+
+
+def test_fewer_fields_are_the_same_fields(spark):
+    docs = document_text(spark, SF_SMALL).select("doc_id", "text")
+    whole = parse(docs, LOCAL, keep=["doc_id"])
+    for fields in (("bol_number",), ("origin_city", "destination_city"), ("shipper_name",), ("shipment_date", "total_weight")):
+        one = parse(docs, LOCAL, keep=["doc_id"], fields=fields).select("doc_id", *fields)
+        assert one.exceptAll(whole.select("doc_id", *fields)).count() == 0
+
+
+def test_generated_methods_stay_compilable(spark):
+    """HotSpot leaves methods of over 8000 bytes interpreted."""
+    import re
+    docs = spark.read.parquet(SF_SMALL + "/documents.parquet").select("doc_id", "text")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        shown = parse(docs, LOCAL, keep=["doc_id"])._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_hand_written_records(spark):
+    """Expected values written by hand from the rule language's description."""
+    r = _one(spark, "Load ID: 12345678\nOrder: 77-01\nSite: ACME\nCarrier:\nBLUE TRUCKING\n12-Jun-2025 08:00 ship\n44,000 lbs\nPieces: 7\n"
+                    "Freight Charges: $1,234.50\nPart#: 9 STEEL   COILS\nMONTVILLE, NJ 07045\n")
+    assert {k: r[k] for k in ("bol_number", "shipper_name", "shipper_address", "carrier_name", "shipment_date", "delivery_date", "total_weight",
+                              "total_pieces", "freight_charges", "commodity_description", "reference_number", "origin_city",
+                              "destination_city", "consignee_name")} == {
+        "bol_number": "12345678", "shipper_name": "ACME", "shipper_address": None, "carrier_name": "BLUE TRUCKING",
+        "shipment_date": "12-Jun-2025", "delivery_date": None, "total_weight": 44000.0, "total_pieces": 7, "freight_charges": 1234.5,
+        "commodity_description": "9 STEEL COILS", "reference_number": "77-01",
+        "origin_city": "STEEL   COILS\nMONTVILLE, NJ",  # the general city rule reads over line breaks
+        "destination_city": "MONTVILLE, NJ", "consignee_name": None}

@@ -34,10 +34,48 @@ def test_all_rejected_rate_zero(spark):
     assert r.success_rate == 0.0
 
 
-def test_assign_ids_dense_and_ordered(spark):
+def test_ids_are_unique_over_runs(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType()), T.StructField("k", T.LongType()), T.StructField("note", T.StringType())])
     df = spark.range(0, 1000, 1, 7).select((F.col("id") * 3).alias("k"))
-    ids = Tb.assign_ids(df, "k", 11).orderBy("k").collect()
-    assert [r.id for r in ids] == list(range(11, 1011))
+    starts = [Tb.append_table(df, path, schema) for _ in range(3)]
+    t = spark.read.parquet(path)
+    assert t.count() == 3000 and t.select("id").distinct().count() == 3000
+    assert starts[0] == 1 and starts == sorted(starts) and t.agg(F.min("id")).first()[0] == 1
+    assert t.where(F.col("id") < starts[1]).count() == 1000 and t.columns == ["id", "k", "note"]
+    wider = T.StructType([*schema.fields, T.StructField("more", T.IntegerType())])
+    assert Tb.ensure_table(spark, path, wider).where("more is null").count() == 3000
+    assert Tb.ensure_table(spark, str(tmp_path / "new"), schema).count() == 0
+
+
+def test_csv_keeps_line_breaks_and_quotes(spark, tmp_path):
+    rows = [(1, 'two\nlines, "quoted"'), (2, "plain"), (3, "back\\slash")]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("error_message", T.StringType())])
+    path = str(tmp_path / "log")
+    Tb.append_csv_log(spark.createDataFrame(rows, schema), path)
+    Tb.append_csv_log(spark.createDataFrame([(4, "x\r\ny")], schema), path)
+    got = {r.id: r.error_message for r in Tb.read_csv_log(spark, path, schema).collect()}
+    assert {k: v for k, v in got.items() if k < 4} == dict(rows) and got[4].split() == ["x", "y"]
+
+
+def test_long_bol_numbers_stay_whole(spark):
+    rows = [(i, "B" * 100 + str(i), dt.datetime(2024, 1, 1)) for i in range(12)]
+    orders = spark.createDataFrame(rows, "id long, bol_number string, created_date timestamp_ntz").selectExpr(
+        "*", "'s' as shipper_name", "'c' as consignee_name", "'r' as carrier_name", "1.0D as total_weight", "1 as total_pieces")
+    got = Rp.recent_orders(orders).collect()
+    assert [r.id for r in got] == list(range(11, 1, -1)) and got[0].bol == "B" * 100 + "11"
+
+
+def test_audit_reads_the_table(spark):
+    df = spark.createDataFrame([("a", None), (None, None)], "bol_number string, other string")
+    got = {r.column_name: (r.present, r.filled, r.row_count) for r in Tb.schema_audit(df, ("bol_number", "raw_text")).collect()}
+    assert got == {"bol_number": (True, 1, 2), "raw_text": (False, None, 2)}
+
+
+def test_blank_documents_are_empty(spark):
+    from manifest_spark.operators import route
+    docs = spark.createDataFrame([(1, "\n\t \u2003"), (2, ""), (3, "x")], "doc_id long, text string").selectExpr(
+        "doc_id", "'f' as email_from", "'s' as email_subject", "'a.pdf' as attachment_name", "text")
+    assert sorted(r.doc_id for r in route.empty_documents(route.process(docs)).collect()) == [1, 2]
 
 
 def test_ensure_columns_counts_and_defaults(spark):

@@ -29,6 +29,9 @@ def test_stream_ingest_processes_only_new_files(spark):
     log2 = spark.read.parquet(os.path.join(out, "order_log"))
     assert log2.count() == 3
     assert sorted(r.batch_id for r in log2.select("batch_id").distinct().collect()) == [0, 1]
+    assert spark.read.parquet(os.path.join(out, "order_log")).select("id").distinct().count() == 3
+    assert spark.read.parquet(os.path.join(out, "notices")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "notice_lines")).count() == 3
     # a restart with nothing new adds nothing
     St.start_ingest(spark, land, out, ck).awaitTermination()
     assert spark.read.parquet(os.path.join(out, "order_log")).count() == 3
@@ -40,3 +43,20 @@ def test_stream_daily_report_equals_batch(spark):
     b = {tuple(r) for r in Rp.daily_report_all(Rp.process_log_from_events(spark, SF_SMALL))
          .select("day", "total_processed", "successful", "failed", "avg_fields_extracted", "success_rate").collect()}
     assert s == b
+
+
+def test_late_rows_and_folder_tables_are_counted(spark, tmp_path):
+    """Four files of a folder-shaped table, the newest days first."""
+    sf, events = str(tmp_path / "sf"), spark.read.parquet(SF_SMALL + "/events.parquet")
+    parts = events.orderBy(events.ts.desc()).toPandas()
+    for k in range(4):
+        piece = spark.createDataFrame(parts.iloc[k * 250:(k + 1) * 250], events.schema).coalesce(1)
+        piece.write.mode("append").parquet(sf + "/events.parquet")
+    got = QUERIES["stream_daily_report"](spark, sf)
+    assert got.count() == 30 and got.groupBy().sum("total_processed").first()[0] == events.count()
+
+
+def test_empty_stream_gives_an_empty_report(spark, tmp_path):
+    sf = str(tmp_path / "sf")
+    spark.read.parquet(SF_SMALL + "/events.parquet").limit(0).write.parquet(sf + "/events.parquet")
+    assert QUERIES["stream_daily_report"](spark, sf).count() == 0
