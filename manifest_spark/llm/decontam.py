@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import functools
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, chunks, texts_of, written
+from .common import chunks, texts_of, written
 
 #: Tokens of a template window, and the literal (not replaced) ones that it needs.
 WINDOW, LITERALS = 8, 5
@@ -25,56 +25,106 @@ s sec second seconds min minute minutes h hr hour hours day days week weeks mont
 dollar dollars cent cents euro euros pound pounds usd eur gbp k mb gb tb hz khz mhz ghz w kw v degrees celsius fahrenheit
 """.split())
 
-_TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[%$€£]|[.!?:;\n]")
-_P = np.uint64(0x9E3779B97F4A7C15)
 _NUMBER, _NAME, _UNIT, _STOP, _MONEY, _WORD = 1, 2, 3, 4, 5, 0
 _SLOTS = {_NUMBER: "<number>", _NAME: "<name>", _UNIT: "<unit>"}
 _CODE = {k: np.uint64(xxhash.xxh64_intdigest(v, 3)) for k, v in _SLOTS.items()}
+_P = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_P), -1, 2**64))
+_Q = np.uint64(0xC2B2AE3D27D4EB4F)
+CHUNK = 1 << 20
+
+# classes of code points
+_OTHER, _LETTER, _DIGIT, _SINGLE = 0, 1, 2, 3
+
+
+@functools.cache
+def code_points() -> tuple[np.ndarray, np.ndarray]:
+    """Class and lower-case form of every code point (of those that become several signs: themselves)."""
+    signs = [chr(c) for c in range(0x110000)]
+    kind = np.array([_LETTER if c.isalpha() else _DIGIT if c.isdecimal() else _OTHER for c in signs], dtype=np.uint8)
+    kind[[ord(c) for c in ".!?:;\n%$€£"]] = _SINGLE
+    lower = np.array([ord(x) if len(x := c.lower()) == 1 else i for i, c in enumerate(signs)], dtype=np.uint32)
+    return kind, lower
+
+
+class Powers:
+    """Powers of the hash's factor and of its inverse, modulo 2**64."""
+
+    up = down = np.ones(1, np.uint64)
 
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(n, 2 * len(cls.up))
+            cls.up, cls.down = (np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(size, f))]) for f in (_P, _INVERSE))
+        return cls.up[:n], cls.down[:n]
 
-def kind_of(token: str) -> tuple[int, int]:
-    """(hash of the lower-case token, kind as far as the token alone tells: _NAME means in title case)."""
-    c = token[0]
-    if c.isalpha():
-        kind = _NAME if c.isupper() and not (len(token) > 1 and token.isupper()) else _WORD
-        if token.lower() in UNITS:
-            kind = _UNIT
-    elif c in ".!?:;\n":
-        kind = _STOP
-    else:
-        kind = _NUMBER if c.isdigit() else _UNIT if c == "%" else _MONEY
-    return xxhash.xxh64_intdigest(token.lower(), 3), kind
+
+def token_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the code points between ``start`` and ``end``, equal wherever they stand."""
+    up, down = Powers.of(len(low) + 1)
+    with np.errstate(over="ignore"):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((low + np.uint64(1)) * up[:len(low)], dtype=np.uint64)])
+        h = (total[end] - total[start]) * down[start]
+        return (h ^ (h >> np.uint64(29))) * _Q
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+@functools.cache
+def unit_hashes() -> np.ndarray:
+    words = sorted(UNITS)
+    size = np.array([len(w) for w in words])
+    end = np.cumsum(size)
+    return np.sort(token_hashes(_points("".join(words)).astype(np.uint64), end - size, end))
 
 
 class Templates:
-    """Canonical tokens of a batch of texts: numbers, units after numbers and names inside sentences become slots."""
-
-    def __init__(self, texts: list[str], memo: Memo):
-        lists = [_TOKEN.findall(t) for t in texts]
-        for k in memo.missing(set().union(*lists)):
-            memo.young[k] = kind_of(k)
-        get = memo.young.__getitem__
-        size = np.array([len(x) for x in lists], dtype=np.int64)
-        flat = np.array([get(t) for x in lists for t in x], dtype=np.uint64).reshape(-1, 2)
-        owner = np.repeat(np.arange(len(lists)), size)
-        code, kind = flat[:, 0], flat[:, 1].astype(np.int8)
-        first = np.ones(len(kind), bool)
-        first[1:] = owner[1:] != owner[:-1]
-        before = np.where(first, _STOP, np.concatenate([[_STOP], kind[:-1]])) if len(kind) else kind
-        after_number = before == _NUMBER
+    """Canonical tokens of a batch of texts: numbers, units after numbers and names inside sentences become slots.
+
+    Tokens are runs of letters, numbers (with points and commas inside) and
+    single signs that end sentences or mark money.  They are found, hashed and
+    told apart in whole arrays of code points.
+    """
+
+    def __init__(self, texts: list[str]):
+        self.line = line = "\n".join(texts) + "\n"  # a line's end parts texts and sentences
+        points = _points(line)
+        kinds, lower = code_points()
+        cls, low = kinds[points], lower[points].astype(np.uint64)
+        digit = cls == _DIGIT
+        inner = ((points[1:-1] == 46) | (points[1:-1] == 44)) & digit[:-2] & digit[2:]
+        cls[1:-1][inner] = _DIGIT
+        change = np.concatenate([[True], cls[1:] != cls[:-1]]) | (cls == _SINGLE)
+        start = np.nonzero(change)[0]
+        end = np.append(start[1:], len(cls))
+        token = cls[start] != _OTHER
+        start, end = start[token], end[token]
+        kind, sign = cls[start], points[start]
+        code = token_hashes(low, start, end)
+        upper = np.concatenate([[0], np.cumsum((points != low) & (cls == _LETTER))])
+        capitals, size = upper[end] - upper[start], end - start
+        title = (points[start] != low[start]) & ~((size > 1) & (capitals == size))
+        alone = np.select([(sign == 37), np.isin(sign, [36, 0x20AC, 0xA3])], [_UNIT, _MONEY], _STOP)
+        letters = np.where(np.isin(code, unit_hashes()), _UNIT, np.where(title, _NAME, _WORD))
+        kind = np.select([kind == _LETTER, kind == _DIGIT], [letters, _NUMBER], alone)
+        before = np.concatenate([[_STOP], kind[:-1]])
         # a title-case word that starts a sentence, and a unit without a number, are ordinary words
         kind = np.where((kind == _NAME) & (before == _STOP), _WORD, kind)
-        kind = np.where((kind == _UNIT) & ~after_number, _WORD, kind)
-        same_name = (kind == _NAME) & np.concatenate([[False], kind[:-1] == _NAME])[:len(kind)] & ~first
+        kind = np.where((kind == _UNIT) & (before != _NUMBER), _WORD, kind)
+        same_name = (kind == _NAME) & np.concatenate([[False], kind[:-1] == _NAME])
         keep = (kind != _STOP) & (kind != _MONEY) & ~same_name
+        first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        self.start, self.end, self.same_name = start, end, same_name
         self.places = np.nonzero(keep)[0]
-        self.kind, self.owner = kind[keep], owner[keep]
-        self.code = code[keep].copy()
+        self.kind, self.code = kind[keep].astype(np.int8), code[keep]
         for k, c in _CODE.items():
             self.code[self.kind == k] = c
-        self.lists, self.start = lists, np.concatenate([[0], np.cumsum(size)])
-        self.begin = np.searchsorted(self.owner, np.arange(len(lists)))
-        self.count = np.bincount(self.owner, minlength=len(lists))
+        self.owner = np.searchsorted(first, start[keep], "right") - 1
+        self.begin = np.searchsorted(self.owner, np.arange(len(texts)))
+        self.count = np.bincount(self.owner, minlength=len(texts))
 
     def windows(self, w: int) -> tuple[np.ndarray, np.ndarray]:
         """(first tokens, hashes) of all windows of ``w`` tokens inside one text with enough literal tokens."""
@@ -93,16 +143,11 @@ class Templates:
 
     def surface(self, i: int) -> str:
         """The token (of a name, all its words) at canonical place ``i``, in lower case."""
-        p, o = int(self.places[i]), int(self.owner[i])
-        tokens, p = self.lists[o], p - int(self.start[o])
-        if self.kind[i] != _NAME:
-            return tokens[p].lower()
-        to = int(self.places[i + 1]) - int(self.start[o]) if i + 1 < len(self.places) and self.owner[i + 1] == o else len(tokens)
-        words = [tokens[p]]
-        for t in tokens[p + 1:to]:
-            if not t[0].isalpha():
-                break
-            words.append(t)
+        p = int(self.places[i])
+        words = [self.line[self.start[p]:self.end[p]]]
+        while p + 1 < len(self.start) and self.same_name[p + 1]:
+            p += 1
+            words.append(self.line[self.start[p]:self.end[p]])
         return " ".join(words).lower()
 
     def describe(self, i: int, w: int) -> tuple[str, list[str]]:
@@ -139,9 +184,8 @@ def _emit(ids, t: Templates, sizes: list[int], keep=None):
 def template_windows(rows: DataFrame, id_col: str, sizes: list[int], keep=None) -> DataFrame:
     """Windows of the canonical tokens of each row's text; with a filter ``keep`` only those that it lets through."""
     def run(batches):
-        memo = Memo()
-        for b in chunks(batches):
-            yield _emit(b.column("id").to_pylist(), Templates(texts_of(b), memo), sizes, None if keep is None else keep.value)
+        for b in chunks(batches, max_bytes=CHUNK):
+            yield _emit(b.column("id").to_pylist(), Templates(texts_of(b)), sizes, None if keep is None else keep.value)
 
     src = rows.select(F.col(id_col).cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     return src.mapInArrow(run, _WINDOW_TYPE)
