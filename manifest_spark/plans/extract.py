@@ -255,6 +255,26 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
         "commodity_description": _first_index(d, [hit(c) for c in cm]),
         "reference_number": _first_index(d, [hit(c) for c in rf]),
     }
+    if not lazy and rs.dates:
+        sizes = [bind(0, f"_dates_n{i}", d.size(d.rx_all(T, p, 1))) for i, p in enumerate(rs.dates)]
+        upto = [d.add(*sizes[:i + 1]) if i else sizes[0] for i in range(len(sizes))]
+        nth = lambda k: _first_index(d, [d.ge(n, d.lit(k)) for n in upto])
+        shipped = d.and_(one, ctx_ship) if ctx_ship is not None else None
+        attrib["shipment_date"] = d.when([(two, nth(2))] + ([(shipped, nth(1))] if shipped is not None else []))
+        attrib["delivery_date"] = d.when([(two, nth(1)), (one if shipped is None else d.and_(one, d.not_(ctx_ship)), nth(1))])
+    if not lazy:
+        # rules are numbered as in the catalog: fixed ones, the general one, plain tests; a later plain test yields to an earlier
+        after = len(rs.fixed_cities) + bool(rs.general_city)
+        for role in ("origin", "destination"):
+            cases = [(c, d.lit(after + 1 + i)) for i, ((_, r, _), c) in enumerate(zip(rs.city_contains, ccon)) if r == role]
+            cases += [(d.ne(m, d.lit("")), d.lit(1 + i)) for i, ((_, r, _), m) in reversed(list(enumerate(zip(rs.fixed_cities, cfix)))) if r == role]
+            if rs.general_city:
+                hits = [d.ne(m, d.lit("")) for (_, r, _), m in zip(rs.fixed_cities, cfix) if r == "origin"]
+                general = d.ne(cg1, d.lit(""))
+                if role == "origin" or hits:
+                    cases.append((general if role == "origin" else d.and_(general, d.or_(*hits)), d.lit(len(rs.fixed_cities) + 1)))
+            if cases:
+                attrib[f"{role}_city"] = d.when(cases)
     return Plan(stages=[x for x in [*stages, s2, s3] if x], final=fin, attribution=attrib)
 
 

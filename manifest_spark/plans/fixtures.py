@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import SparkX, SqlX
 from ..sources.tables import read_table
+from .rules import CLOUD_CITY_CONTAINS, FIXED_CITY_RULES, SITE_NAME
+
+ORIGIN, DESTINATION = (value for _, _, value in FIXED_CITY_RULES)
 
 
 def _text(d) -> object:
@@ -45,7 +48,7 @@ def _text(d) -> object:
         lit("Site:"), SUPN,
         lit("Address:"), d.concat(K, lit(" INDUSTRIAL DRIVE")),
         d.concat(SEG, lit(" CITY, NY "), ZIP),
-        lit("LITTLE FALLS, NY 13365"),
+        lit(ORIGIN + " 13365"),
         lit("Carrier:"), d.concat(SEG, lit(" TRUCKING")),
         lit("Ship Date:"), D1,
         d.concat(D2, lit(" 08:00")), d.concat(D1, lit(" 14:30")),
@@ -79,13 +82,13 @@ def _text(d) -> object:
         d.concat(lit("Total Count: "), N),
         d.concat(lit("Part#: "), d.to_str(c("p_partkey")), lit(" "), COMM),
         d.concat(lit("Ref # "), K),
-        d.concat(lit("Deliver to PLAINFIELD yard "), N))
+        d.concat(lit(f"Deliver to {CLOUD_CITY_CONTAINS[2][0]} yard "), N))
     v3 = d.join_lines(
         d.concat(lit("Load ID: "), L), d.concat(lit("Order: "), ORD),
         lit("Site:"), lit("   "),
         lit("Appt Date:"), D2,
         d.concat(lit("Appt "), D2, lit(" delivery window")),
-        lit("MONTVILLE, NJ 07045"),
+        lit(DESTINATION + " 07045"),
         lit("Motor Carrier: Load ID pending"),
         lit("CARRIER"), d.concat(SEG, lit(" EXPRESS")),
         d.concat(lit("Contents: "), COMM),
@@ -110,8 +113,8 @@ def _text(d) -> object:
         d.concat(lit("Total Charges: $"), FC),
         d.concat(lit("$"), FC, lit(" total due")),
         d.concat(lit("Origin: "), NAT), CUS,
-        lit("LITTLE FALLS DISTRIBUTION CENT"),
-        lit("Address:"), d.concat(K, lit(" MILL ROAD")), lit("LITTLE FALLS, NY 13365"),
+        lit(SITE_NAME),
+        lit("Address:"), d.concat(K, lit(" MILL ROAD")), lit(ORIGIN + " 13365"),
         d.concat(lit("Reference")))
     v6 = lit("")
     v7 = d.join_lines(

@@ -149,6 +149,13 @@ def _diff_count(d, a_prefix, b_prefix):
                    for f in FIELDS])
 
 
+@query("parse_all_documents", f"SELECT {', '.join(ALL_COLS)} FROM ({parse_sql('SELECT doc_id, text FROM documents', LOCAL)})")
+def parse_all_documents(spark, sf):
+    """The rules over real prose: long texts in several languages, few of them bills."""
+    docs = Tb.read_table(spark, sf, "documents").select("doc_id", "text")
+    return parse(docs, LOCAL, keep=["doc_id"]).select(*ALL_COLS)
+
+
 @query("rule_set_diff",
        "SELECT l.doc_id, " + _diff_count(_qx, "l.", "c.") + " AS n_diff FROM (" + RECORDS
        + ") l JOIN (" + parse_sql(DOCS, CLOUD) + ") c ON l.doc_id = c.doc_id")

@@ -164,3 +164,13 @@ def test_hand_written_records(spark):
         "commodity_description": "9 STEEL COILS", "reference_number": "77-01",
         "origin_city": "STEEL   COILS\nMONTVILLE, NJ",  # the general city rule reads over line breaks
         "destination_city": "MONTVILLE, NJ", "consignee_name": None}
+
+
+def test_attribution_of_dates_and_cities(spark):
+    from manifest_spark.operators.coverage import rule_attribution
+    texts = ["12-Jun-2025 08:00 ship\n", "Ship Date:\n1-Jan-2025\n3/4/2025 x", "LITTLE FALLS, NY 13365\n", "\nUTICA, NY 13501\n", "none"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.field, r.rule_no): r.documents for r in rule_attribution(docs).collect()
+           if r.field in ("shipment_date", "delivery_date", "origin_city", "destination_city") and r.rule_no is not None}
+    assert got == {("shipment_date", 1): 1, ("delivery_date", 2): 1, ("shipment_date", 5): 1,
+                   ("origin_city", 1): 1, ("destination_city", 3): 1, ("origin_city", 3): 1}
