@@ -63,6 +63,18 @@ def bytes_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [b"" if t is None else t for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def thinned(df: DataFrame, limit: int, *keys: str) -> DataFrame:
+    """At most ``limit`` distinct rows by ``keys``, the first in the order of a hash of them.
+
+    Only rows with hashes below a bound that about twice ``limit`` rows meet
+    go into the sort, so that no partition hands on ``limit`` rows of its own.
+    """
+    n, h = df.count(), F.xxhash64(*keys)
+    if n > 2 * limit:
+        df = df.where(F.shiftrightunsigned(h, 32) < int(2**32 * 2.0 * limit / n))
+    return df.dropDuplicates(list(keys)).orderBy(h, *keys).limit(limit)
+
+
 def fold(doc_id: str, mod: int):
     """crc32 of the id as text modulo ``mod``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod
@@ -82,8 +94,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, re
     """
     few = (labels.select("doc_id", F.col(label).cast("int").alias("y"))
            .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", mod) != rest))
-           .groupBy("doc_id").agg(F.max("y").alias("y"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+           .groupBy("doc_id").agg(F.max("y").alias("y")))
+    few = thinned(few, limit, "doc_id")
     # the broadcast side holds `limit` rows of two numbers at most
     return (docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")))

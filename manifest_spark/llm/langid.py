@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, fold
+from .common import chunks, fold, thinned
 
 #: Most labelled rows that the network learns from, and most windows of them in a pass.
 SAMPLE_ROWS = 3000
@@ -174,10 +174,10 @@ def fit(docs: DataFrame, mod: int = 4, rest: int = 2, limit: int = SAMPLE_ROWS)
     fixed random choice of them is used, together with short pieces, so that
     short texts are met in training too.
     """
-    got = (docs.select("doc_id", "text", "lang")
-           .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")
-                  & (fold("doc_id", mod) != rest))
-           .orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "lang").limit(limit).collect())
+    known = (docs.select("doc_id", "text", "lang")
+             .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")
+                    & (fold("doc_id", mod) != rest)))
+    got = sorted(thinned(known, limit, "doc_id", "text", "lang").collect())
     if not got:
         return None
     languages = sorted({r["lang"] for r in got})
