@@ -84,3 +84,26 @@ def op9_toxicity(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     return rules.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE["op10_quality_rules"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+places AS (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2),
+windows AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i], words[i + 1], words[i + 2]) AS n FROM places),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words
+            FROM windows, (SELECT unnest([0, 1, 2]) AS k) t WHERE n > 1 GROUP BY rid),
+counted AS (
+  SELECT doc_id, text, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         length(regexp_replace(text, '\P{{L}}', '', 'g')) AS letters, length(regexp_replace(text, '\P{{Lu}}', '', 'g')) AS capitals
+  FROM w LEFT JOIN covered USING (rid)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND n_symbols <= {rules.MAX_SYMBOLS_PER_WORD} * n_words AND n_dup_lines <= {rules.MAX_DUP_LINES} * n_lines
+       AND word_chars BETWEEN {rules.MEAN_WORD[0]} * n_words AND {rules.MEAN_WORD[1]} * n_words
+       AND letters >= {rules.MIN_LETTERS} * word_chars AND capitals <= {rules.MAX_SHOUTING} * word_chars AS kept
+FROM judged"""

@@ -103,7 +103,7 @@ def test_bpe_random(t):
     ids, back = LIBRARY["word_bpe_49k.json"](t)
     assert model.encode([t], Memo())[0].tolist() == ids
     assert model.decode(ids) == back
-    (raw,) = token_files.serialized([t], token_files.Pieces(vocabulary("byte_bpe_50k.json")))
+    raw = token_files.Encoder(vocabulary("byte_bpe_50k.json")).serialized(t)
     assert np.frombuffer(raw, "<u4").tolist() == LIBRARY["byte_bpe_50k.json"](t)[0] + [0]
 
 
@@ -336,3 +336,11 @@ def test_obfuscated_words_are_restored(spark):
     rows = list(enumerate(shown + plain))
     got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), fitted).collect()}
     assert [got[i] for i in range(len(rows))] == [1] * len(shown) + [0] * len(plain)
+
+
+def test_rules_equal_their_sql(spark, duck):
+    from manifest_spark.llm.queries import ORACLE
+    found = duck.execute(ORACLE["op10_quality_rules"])
+    names = [c[0] for c in found.description]
+    got = QUERIES["op10_quality_rules"](spark, SF).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(found.fetchall())
