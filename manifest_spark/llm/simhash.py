@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, chunks, written
+from .common import bytes_of, chunks, thinned, written
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 #: Most fingerprints that the driver sees, to choose vantage points and radii from.
@@ -190,7 +190,7 @@ def links(nodes: DataFrame, bits: int = MAX_BITS, shard: int = SHARD, most: int
     """
     spark = nodes.sparkSession
     n = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()
+    sample = thinned(nodes.select("fp"), TREE_SAMPLE, "fp").collect()
     points = np.array([r["fp"] for r in sample], dtype=np.int64).view(np.uint64)
     tree = numbered(grow(points, n / max(1, len(points)), bits, shard))
     shipped = spark.sparkContext.broadcast(tree)  # fewer nodes than sampled points
