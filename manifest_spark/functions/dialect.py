@@ -19,10 +19,13 @@ _WS = r"[\s\x1c-\x1f]"
 
 
 class SparkX:
-    """Expression builder producing Spark Columns."""
+    """Expression builder producing Spark Columns; ``ascii`` names a column that tells whether the text is ASCII."""
 
     name = "spark"
 
+    def __init__(self, ascii: str | None = None):
+        self.ascii = ascii
+
     # -- basics -----------------------------------------------------------
     def col(self, name: str) -> Column:
         return F.col(name)
@@ -132,12 +135,18 @@ class SparkX:
         return F.when(x != "", x)
 
     # -- regex ------------------------------------------------------------
+    def _by_text(self, form: str, use):
+        """``use(form)``; if a column tells ASCII texts, these get the form that is cheaper on them."""
+        if self.ascii is None:
+            return use(form)
+        return F.when(F.col(self.ascii), use(rx.for_ascii(form))).otherwise(use(form))
+
     def rx(self, text, pattern: str, group: int = 1, ignorecase=True, first_match=True):
         """First match, capture ``group``; '' when there is no match."""
         form = rx.java(pattern, ignorecase, first_match)
         if rx.block_parts(pattern):
-            return F.array_join(F.regexp_extract_all(text, F.lit(form), F.lit(1)), "")
-        return F.regexp_extract(text, form, group)
+            return self._by_text(form, lambda f: F.array_join(F.regexp_extract_all(text, F.lit(f), F.lit(1)), ""))
+        return self._by_text(form, lambda f: F.regexp_extract(text, f, group))
 
     def rx_guarded(self, text, pattern: str, group: int = 1):
         """As ``rx``; a rule with a word that each match must hold is tried only where that word stands."""
@@ -146,12 +155,12 @@ class SparkX:
         return found if guard is None else F.when(self.rx_test(text, guard), found).otherwise("")
 
     def rx_all(self, text, pattern: str, group: int = 1, ignorecase=True):
-        return F.regexp_extract_all(text, F.lit(rx.java(pattern, ignorecase)), F.lit(group))
+        return self._by_text(rx.java(pattern, ignorecase), lambda f: F.regexp_extract_all(text, F.lit(f), F.lit(group)))
 
     def rx_test(self, text, pattern: str, ignorecase=True):
         if rx.block_parts(pattern):
             return self.rx(text, pattern, 1, ignorecase) != ""
-        return F.regexp_like(text, F.lit(rx.java(pattern, ignorecase, True)))
+        return self._by_text(rx.java(pattern, ignorecase, True), lambda f: F.regexp_like(text, F.lit(f)))
 
     def literal_then(self, text, value, tail: str):
         """``value`` (escaped) followed on the same line by regex ``tail``."""

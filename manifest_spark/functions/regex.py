@@ -27,6 +27,8 @@ import re
 
 JAVA_FLAGS_CI = "(?idU)"
 JAVA_FLAGS_CS = "(?dU)"
+# on ASCII text the Unicode classes and case rules change no match, and cost more
+_ASCII_FLAGS = {JAVA_FLAGS_CI: "(?id)", JAVA_FLAGS_CS: "(?d)"}
 _BLOCK = r"([^\n]+(?:\n[^\n]+)*?)(?="
 _EXTRA_SPACE = r"\x1c-\x1f"
 
@@ -144,6 +146,12 @@ def java(p: str, ignorecase: bool = True, first_match: bool = False) -> str:
     return (JAVA_FLAGS_CI if ignorecase else JAVA_FLAGS_CS) + _python_whitespace(q)
 
 
+def for_ascii(q: str) -> str:
+    """A translated pattern in the form for ASCII text."""
+    flags = next(f for f in _ASCII_FLAGS if q.startswith(f))
+    return _ASCII_FLAGS[flags] + q[len(flags):]
+
+
 def re2(p: str, ignorecase: bool = True) -> str:
     """RE2 (DuckDB) form: lookaheads become plain groups (same group 1)."""
     q = p.replace("(?=", "(?:")

@@ -16,7 +16,8 @@ from ..plans.rules import FIELDS, LOCAL, RuleSet
 
 RECORD_COLUMNS = FIELDS + ("raw_text", "extracted_fields")
 #: Columns that one generator makes, so that its compiled method stays small.
-GROUP = 5
+GROUP = 3
+ASCII = "__ascii"
 
 
 def settled(df: DataFrame, columns: list) -> DataFrame:
@@ -31,6 +32,11 @@ def settled(df: DataFrame, columns: list) -> DataFrame:
     return df
 
 
+def with_ascii(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with a column that tells whether ``text`` is ASCII."""
+    return settled(df, [(F.length(text) == F.octet_length(text)).alias(ASCII)])
+
+
 def staged(df: DataFrame, plan) -> DataFrame:
     """The plan's stages, each in generators of its own: a projection would be compiled into its neighbours' method."""
     for stage in plan.stages:
@@ -64,11 +70,11 @@ def parse(df: DataFrame, rules: RuleSet = LOCAL, text: str = "text",
     ``extracted_fields``; ``extra`` names intermediate columns to keep (without
     their leading line).
     """
-    d = SparkX()
+    d = SparkX(ascii=ASCII)
     plan = plan_mod.build(d, only(rules, fields), text, lazy=lazy)
     keep = [c for c in df.columns if c != text] if keep is None else list(keep)
     final = dict(plan.final)
-    cur = staged(df.select(*keep, text), plan)
+    cur = staged(with_ascii(df.select(*keep, text), text), plan)
     more = [x.lstrip("_") for x in extra]
     cur = settled(cur, [final[f].alias(f) for f in fields] + [F.col(x).alias(y) for x, y in zip(extra, more)])
     cur = cur.select(*keep, *more, *fields, F.substring(text, 1, rules.raw_text_chars).alias("raw_text"))

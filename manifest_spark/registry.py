@@ -19,7 +19,7 @@ from .functions import regex as rx
 from .operators import coverage as D
 from .operators import reports as Rp
 from .operators import route as V
-from .operators.extract import parse, parse_sql, settled, staged
+from .operators.extract import ASCII, parse, parse_sql, settled, staged, with_ascii
 from .plans import rules as R
 from .plans.fixtures import document_text, document_text_sql
 from .plans.rules import CLOUD, FIELDS, LOCAL, catalog_rows
@@ -162,9 +162,9 @@ def parse_all_documents(spark, sf):
 def rule_set_diff(spark, sf):
     """Both rule sets evaluated in one projection (no join, no shuffle)."""
     from .plans import extract as pe
-    cur = _docs(spark, sf).select("doc_id", "text")
+    cur = with_ascii(_docs(spark, sf).select("doc_id", "text"))
     for rules, prefix in ((LOCAL, "l_"), (CLOUD, "c_")):
-        plan = pe.build(_sx, rules, "text", prefix)
+        plan = pe.build(SparkX(ascii=ASCII), rules, "text", prefix)
         cur = settled(staged(cur, plan), [e.alias(a) for a, e in plan.final])
     return cur.select("doc_id", _diff_count(_sx, "l_", "c_").alias("n_diff"))
 
