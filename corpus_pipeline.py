@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from manifest_spark.llm import bpe, decontam, langid, secrets, simhash
-from manifest_spark.llm.common import shared_dir, table
+from manifest_spark.llm.common import shared_dir, table, written
 from manifest_spark.llm.queries import vocabulary
 
 #: The least chance of its best language that a document needs (four languages would give 0.25 to each by guessing).
@@ -39,7 +39,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item stands."""
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    found = written(decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
     return docs.join(found, "doc_id", "left_anti").select(docs.columns)
 
 
