@@ -7,7 +7,7 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import thinned, written
 
 #: Rows of the sample on which costs and selectivities are estimated.
 SAMPLE_ROWS = 1000
@@ -82,7 +82,8 @@ def order_rules(docs: DataFrame, limit: int = SAMPLE_ROWS) -> list[tuple[str, fl
     Each rule is timed alone on the written sample, less what a run without a
     rule takes.  The order changes the work, never the verdict.
     """
-    sample = written(with_counts(docs.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(limit)), "rule-sample")
+    rows = written(thinned(docs.select("doc_id", "text"), limit, "doc_id", "text"), "rule-rows")
+    sample = written(with_counts(rows), "rule-sample")
     named = rules()
     first = sample.agg(F.count(F.lit(1)).alias("n"), *[F.avg(r.cast("double")).alias(k) for k, r in named.items()]).first()
     n = max(1, first["n"])
