@@ -6,19 +6,22 @@ import functools
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, chunks, shared_dir, texts_of
+from .bpe import byte_letters
+from .common import chunks, shared_dir, texts_of, thinned
 
 END_ID = 0
 #: Documents that the dictionary is trained on at most, and its size.
@@ -27,9 +30,9 @@ SHARD_BYTES, SHARD_DOCS = 4 << 20, 4096
 LEVEL = 3
 MAGIC = b"TOKZ0001"
 
+# Latin text, on which the pattern of Python's own regular expressions cuts as the library's does
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r -~\xa0\xa1\xab\xbf-ɏ‐-‧]*\Z")
-_FAST = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-_FULL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_FAST = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]+|'(?:[stmd]|re|ve|ll)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
 @functools.lru_cache(maxsize=2)
@@ -43,36 +46,62 @@ def tokenizer(path: str):
     return t, [x.content for x in t.get_added_tokens_decoder().values()]
 
 
-def serialized(texts: list[str], path: str, memo: Memo) -> list[bytes]:
-    """Ids of each text and the end id, as little-endian unsigned 32-bit integers.
+class Pieces(dict):
+    """Serialized ids of the pre-tokenizer's pieces, each merged once by the library's model; the empty piece is the end id."""
 
-    The library encodes each distinct piece of its own pre-tokenizer once;
-    texts that hold a special token's string go to it whole.
-    """
-    t, special = tokenizer(path)
-    end = struct.pack("<I", END_ID)
-    whole = [any(s in x for s in special) for x in texts]
-    pieces = [None if w else (_FAST if _PLAIN.match(x) else _FULL).findall(x) for x, w in zip(texts, whole)]
-    new = memo.missing(set().union(*(p for p in pieces if p)))
-    for piece, e in zip(new, t.encode_batch_fast(new, add_special_tokens=False)):
-        memo.young[piece] = np.array(e.ids, dtype="<u4").tobytes()
-    get = memo.young.__getitem__
-    return [(np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() if p is None else b"".join(map(get, p))) + end
-            for x, p in zip(texts, pieces)]
+    def __init__(self, merge):
+        super().__init__()
+        self.merge, self.letters = merge, dict(enumerate(byte_letters()))
+        self[""] = struct.pack("<I", END_ID)
+
+    def __missing__(self, piece: str) -> bytes:
+        plain = piece if piece.isascii() else piece.encode().decode("latin-1")
+        got = array("I", [t.id for t in self.merge(plain.translate(self.letters))])
+        if sys.byteorder == "big":
+            got.byteswap()
+        self[piece] = got = got.tobytes()
+        return got
+
+
+class Encoder:
+    """Encodes as the library does; holds the ids of ``size`` pieces at most (about 200 bytes each)."""
+
+    def __init__(self, path: str, size: int = 1_600_000):
+        self.size = size
+        self.library, self.special = tokenizer(path)
+        self.pieces = Pieces(self.library.model.tokenize)
+
+    def serialized(self, text: str) -> bytes:
+        """Ids of a text and the end id, as little-endian unsigned 32-bit integers.
+
+        Texts that hold a special token's string go to the library whole, texts
+        in other than Latin letters to its pre-tokenizer.
+        """
+        if len(self.pieces) > self.size:
+            self.pieces = Pieces(self.library.model.tokenize)
+        if any(s in text for s in self.special):
+            return np.array([*self.library.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4").tobytes()
+        if _PLAIN.match(text):
+            cut = _FAST.findall(text)
+        else:
+            cut = [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+        cut.append("")
+        return b"".join(map(self.pieces.__getitem__, cut))
 
 
 def train_dictionary(docs: DataFrame, path: str, rows: int = DICTIONARY_ROWS) -> bytes:
-    """A zstandard dictionary from the serialized ids of the first ``rows`` documents in the order of an id hash.
+    """A zstandard dictionary from the serialized ids of the documents with the first ``rows`` ids in the order of a hash.
 
     Of few or tiny samples, on which the trainer fails, the samples themselves
     are the dictionary; of none it is empty.
     """
-    few = docs.select("doc_id", "text").where("text <> ''").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(rows)
+    ids = F.broadcast(thinned(docs.select("doc_id"), rows, "doc_id"))  # `rows` ids
+    few = docs.join(ids, "doc_id", "left_semi").where("text <> ''").select("text").limit(rows)
 
     def run(batches):
-        memo = Memo()
+        encoder = Encoder(path)
         for b in chunks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(serialized(texts_of(b), path, memo), pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([encoder.serialized(t) for t in texts_of(b)], pa.binary())], names=["ids"])
 
     samples = sorted(bytes(r["ids"]) for r in few.mapInArrow(run, "ids binary").collect())
     try:
@@ -101,7 +130,7 @@ def pack(frames: list[bytes], counts: list[int], dictionary: bytes) -> bytes:
 class Shard:
     """Reads single documents of a shard: the index tells where a frame stands, only that frame is decompressed."""
 
-    def __init__(self, blob: bytes, dictionary: bytes):
+    def __init__(self, blob: bytes | memoryview, dictionary: bytes):
         if blob[:8] != MAGIC:
             raise ValueError("not a shard of token ids")
         known, n = struct.unpack_from("<qI", blob, 8)
@@ -117,6 +146,12 @@ class Shard:
         a, b = self.start + int(self.offsets[k]), self.start + int(self.offsets[k + 1])
         return self.reader.decompress(self.blob[a:b], max_output_size=4 * int(self.counts[k]))
 
+    def raws(self) -> Iterator[bytes]:
+        """All documents in order."""
+        at, decompress = (self.offsets + self.start).tolist(), self.reader.decompress
+        for a, b, n in zip(at, at[1:], self.counts.tolist()):
+            yield decompress(self.blob[a:b], max_output_size=4 * n)
+
     def ids(self, k: int) -> np.ndarray:
         return np.frombuffer(self.raw(k), dtype="<u4")
 
@@ -141,7 +176,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str) -> None:
     shipped = spark.sparkContext.broadcast(dictionary)  # DICTIONARY_BYTES
 
     def run(batches):
-        memo, writer = Memo(), zstandard.ZstdCompressor(level=LEVEL, **_options(shipped.value))
+        encoder, writer = Encoder(path), zstandard.ZstdCompressor(level=LEVEL, **_options(shipped.value))
         known, part = dictionary_hash(shipped.value), TaskContext.get().partitionId()
         ids, frames, counts, size, seq, first = [], [], [], 0, 0, 0
 
@@ -153,7 +188,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str) -> None:
                 "part", "seq", "first_token", "n_tokens", "doc_ids", "dictionary_hash", "blob"]), total
 
         for b in chunks(batches):
-            for doc, raw in zip(b.column("doc_id").to_pylist(), serialized(texts_of(b), path, memo)):
+            for doc, raw in zip(b.column("doc_id").to_pylist(), map(encoder.serialized, texts_of(b))):
                 frame = writer.compress(raw)
                 ids.append(doc)
                 frames.append(frame)
@@ -196,12 +231,12 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         dictionary, base = shipped.value
         for b in batches:
             for i in range(b.num_rows):
-                row = {c: b.column(c)[i].as_py() for c in b.schema.names}
-                s = Shard(row["blob"], dictionary)
+                part, first, ids, blob = (b.column(c)[i] for c in ("part", "first_token", "doc_ids", "blob"))
+                s = Shard(memoryview(blob.as_buffer()), dictionary)
                 before = np.concatenate([[0], np.cumsum(s.counts, dtype=np.int64)])[:-1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(before + base[row["part"]] + row["first_token"]),
-                     pa.array(s.counts.astype(np.int64)), pa.array([zlib.crc32(s.raw(k)) for k in range(s.n)], pa.int64())],
+                    [ids.values, pa.array(before + base[part.as_py()] + first.as_py()),
+                     pa.array(s.counts.astype(np.int64)), pa.array(map(zlib.crc32, s.raws()), pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return shards.select("part", "first_token", "doc_ids", "blob").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
