@@ -111,8 +111,14 @@ def train_ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndarr
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, limit: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
     """Weights learned from at most ``limit`` labelled rows outside the held-out fold (zero weights if there are none)."""
     sample = labelled_sample(docs, labels, "quality", mod, rest, limit)
-    got = sorted(feature_rows(sample).collect())  # at most `limit` rows of hashed features
-    return train_ftrl([(r[1], np.array(r[2], np.int64), np.array(r[3], float)) for r in got])
+    got = feature_rows(sample).toArrow().sort_by("doc_id").combine_chunks()  # at most `limit` rows of hashed features
+    if not got.num_rows:
+        return train_ftrl([])
+    ids, counts = (got.column(c).chunk(0) for c in ("ids", "counts"))
+    at = ids.offsets.to_numpy()
+    x, n = ids.values.to_numpy(), counts.values.to_numpy().astype(np.float32)
+    y = got.column("y").to_pylist()
+    return train_ftrl([(y[k], x[at[k]:at[k + 1]], n[at[k]:at[k + 1]]) for k in range(len(y))])
 
 
 def score_texts(texts: list[str], weights: np.ndarray, bias: float, memo: Memo) -> np.ndarray:
