@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import thinned
+
 # fixed values: the base patterns; of `assign` the value is group 2
 ASSIGN = r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -40,7 +42,8 @@ def labelled_strings(docs: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
     and with a number behind them.
     """
     few = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-           .orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(limit))
+           )
+    few = thinned(few, limit, "doc_id", "text")
     words = few.select(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))).alias("w"))
     pairs = words.select(F.explode(F.when(F.size("w") >= 2, F.zip_with(
         F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))).alias("p")
