@@ -32,6 +32,8 @@ MAGIC = b"TOKZ0001"
 
 # Latin text, on which the pattern of Python's own regular expressions cuts as the library's does
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r -~\xa0\xa1\xab\xbf-ɏ‐-‧]*\Z")
+# the only ASCII signs that the two patterns class differently
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _FAST = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]+|'(?:[stmd]|re|ve|ll)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
@@ -81,7 +83,7 @@ class Encoder:
             self.pieces = Pieces(self.library.model.tokenize)
         if any(s in text for s in self.special):
             return np.array([*self.library.encode(text, add_special_tokens=False).ids, END_ID], dtype="<u4").tobytes()
-        if _PLAIN.match(text):
+        if not any(x in text for x in _SEPARATORS) if text.isascii() else _PLAIN.match(text):
             cut = _FAST.findall(text)
         else:
             cut = [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
