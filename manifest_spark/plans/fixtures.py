@@ -142,6 +142,8 @@ def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(t("nation"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
             .join(t("part"), F.col("p_partkey") == F.col("partkey"), "left")
             .withColumn("freight", F.round("o_totalprice").cast("bigint")))
+    # the narrow rows are dealt evenly before the costly text work; sizes and numbers are adaptive execution's choice
+    base = base.hint("rebalance")
     d = SparkX()
     return base.select(
         F.col("o_orderkey").alias("doc_id"),

@@ -25,6 +25,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          # a few per core instead of letting AQE merge small shuffles into one
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 2 * int(cpus)))
          .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+         # small files are read by as many tasks as there are cores
+         .config("spark.sql.files.openCostInBytes", "256k")
          .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     spark = b.getOrCreate()
