@@ -118,11 +118,15 @@ class Templates:
         keep = (kind != _STOP) & (kind != _MONEY) & ~same_name
         first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
         self.start, self.end, self.same_name = start, end, same_name
+        self.raw, self.title = code, title
+        # words that are slots only because of what stands before them: they would be plain at a text's start
+        self.turned = np.nonzero((kind == _NAME) | (kind == _UNIT))[0]
         self.places = np.nonzero(keep)[0]
         self.kind, self.code = kind[keep].astype(np.int8), code[keep]
         for k, c in _CODE.items():
             self.code[self.kind == k] = c
         self.owner = np.searchsorted(first, start[keep], "right") - 1
+        self.turned_owner = np.searchsorted(first, start[self.turned], "right") - 1
         self.begin = np.searchsorted(self.owner, np.arange(len(texts)))
         self.count = np.bincount(self.owner, minlength=len(texts))
 
@@ -141,27 +145,71 @@ class Templates:
         at = np.nonzero(ok)[0]
         return at, h[at]
 
-    def surface(self, i: int) -> str:
-        """The token (of a name, all its words) at canonical place ``i``, in lower case."""
-        p = int(self.places[i])
+    def first_windows(self, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(words, second tokens, hashes) of windows of ``w`` tokens that begin with a word that is a slot here.
+
+        The word is taken as it would be at a text's start, as a plain one;
+        a name that it begins goes on without it.
+        """
+        p = self.turned
+        follows = np.append(self.same_name, False)[p + 1]
+        s = np.searchsorted(self.places, p, "right") - follows
+        ok = s + w - 2 < len(self.code)
+        p, s = p[ok], s[ok]
+        ok = self.owner[s + w - 2] == self.turned_owner[ok]
+        p, s = p[ok], s[ok]
+        h = self.raw[p] * _P
+        h ^= h >> np.uint64(31)
+        literal = np.ones(len(p), np.int8)
+        for j in range(w - 1):
+            h = (h + self.code[s + j]) * _P
+            h ^= h >> np.uint64(31)
+            literal += self.kind[s + j] == _WORD
+        ok = literal >= min(w, LITERALS)
+        return p[ok], s[ok], h[ok]
+
+    def words(self, p: int) -> str:
+        """The token (of a name, all its words from there on) at place ``p``, in lower case."""
         words = [self.line[self.start[p]:self.end[p]]]
         while p + 1 < len(self.start) and self.same_name[p + 1]:
             p += 1
             words.append(self.line[self.start[p]:self.end[p]])
         return " ".join(words).lower()
 
-    def describe(self, i: int, w: int) -> tuple[str, list[str]]:
-        """A window's template and its slot values in order."""
-        words = [self.surface(i + j) for j in range(w)]
-        slots = [x for j, x in enumerate(words) if self.kind[i + j] != _WORD]
-        return " ".join(_SLOTS.get(int(self.kind[i + j]), x) for j, x in enumerate(words)), slots
+    def describe(self, i: int, w: int, head: int | None = None) -> tuple[str, list[str]]:
+        """A window's template and its slot values in order; before canonical place ``i`` with the plain word at place ``head``."""
+        at = [int(p) for p in self.places[i:i + w]]
+        if head is not None and at[0] <= head:
+            at[0] = head + 1
+        words = [self.words(p) for p in at]
+        kinds = self.kind[i:i + w].tolist()
+        slots = [x for k, x in zip(kinds, words) if k != _WORD]
+        if head is not None:
+            kinds, words = [_WORD, *kinds], [self.line[self.start[head]:self.end[head]].lower(), *words]
+        return " ".join(_SLOTS.get(k, x) for k, x in zip(kinds, words)), slots
+
+    def open_name(self, i: int) -> bool:
+        """Whether canonical token ``i`` is a name whose words before it depend on what stands before the text.
+
+        It follows its text's first word, which is title-case: in the middle
+        of a sentence both are one name.
+        """
+        b = int(self.begin[self.owner[i]])
+        return i == b + 1 and self.kind[i] == _NAME and self.kind[b] == _WORD and bool(self.title[self.places[b]])
 
 
-_WINDOW_TYPE = "id long, size int, h long, pos long, template string, slots array<string>, total long"
+_WINDOW_TYPE = "id long, size int, h long, pos long, template string, slots array<string>, total long, first boolean"
 
 
 def _emit(ids, t: Templates, sizes: list[int], keep=None):
     rows = []
+    for w in sizes if keep is not None else []:
+        head, at, h = t.first_windows(w)
+        hit = keep[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+        for p, i, x in zip(head[hit].tolist(), at[hit].tolist(), h[hit].view(np.int64).tolist()):
+            o = int(t.owner[i])
+            template, slots = t.describe(i, w - 1, p)
+            rows.append((ids[o], w, x, i - 1 - int(t.begin[o]), template, slots, 0, True))
     for w in sizes:
         at, h = t.windows(w)
         if keep is not None:
@@ -174,15 +222,22 @@ def _emit(ids, t: Templates, sizes: list[int], keep=None):
         for i, x in zip(at.tolist(), h.view(np.int64).tolist()):
             o = int(t.owner[i])
             template, slots = t.describe(i, w)
-            rows.append((ids[o], w, x, i - int(t.begin[o]), template, slots, int(totals[o])))
-    cols = list(zip(*rows)) if rows else [[]] * 7
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.int64()]
+            if keep is None and t.open_name(i):
+                slots[0] = None
+            rows.append((ids[o], w, x, i - int(t.begin[o]), template, slots, int(totals[o]), False))
+    cols = list(zip(*rows)) if rows else [[]] * 8
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.int64(), pa.bool_()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)],
-                                      names=["id", "size", "h", "pos", "template", "slots", "total"])
+                                      names=["id", "size", "h", "pos", "template", "slots", "total", "first"])
 
 
 def template_windows(rows: DataFrame, id_col: str, sizes: list[int], keep=None) -> DataFrame:
-    """Windows of the canonical tokens of each row's text; with a filter ``keep`` only those that it lets through."""
+    """Windows of the canonical tokens of each row's text; with a filter ``keep`` only those that it lets through.
+
+    With a filter, windows also begin with a plain word in place of a slot
+    (``first``), as they do where the word is a text's first one.  Without,
+    slots that depend on what stands before the text are null.
+    """
     def run(batches):
         for b in chunks(batches, max_bytes=CHUNK):
             yield _emit(b.column("id").to_pylist(), Templates(texts_of(b)), sizes, None if keep is None else keep.value)
@@ -197,8 +252,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, windows: int = WINDOWS)
     An item counts as found if ``windows`` of its windows (or all, if it has
     fewer) stand in the document with consistent slots: along one alignment
     each number, name and unit of the item has one value in the document and
-    no two of one kind share a value.  Items of 5 to 7 tokens are one window
-    and must stand as a whole; items of fewer tokens, null or empty ones
+    no two of one kind share a value.  An item's first word is a plain one,
+    also where it stands inside a sentence and looks like a name or a unit.
+    Items of 5 to 7 tokens are one window and must stand as a whole; items of fewer tokens, null or empty ones
     cannot be told from ordinary phrases and are never found.  Null and empty
     documents contain nothing; repeated rows give one result; rows with a null
     id are held together under the null id.  Other columns are not read.
@@ -217,10 +273,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, windows: int = WINDOWS)
     for r in buckets.toLocalIterator():  # 2**FILTER_BITS numbers at most
         bits[r["b"]] = True
     seen = template_windows(docs, "doc_id", held, spark.sparkContext.broadcast(bits))
-    pairs = (seen.select(F.col("id").alias("doc_id"), "h", "size", "template", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots"))
+    pairs = (seen.select(F.col("id").alias("doc_id"), "h", "size", "template", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots"), "first")
              .join(items.select(F.col("id").alias("item_id"), "h", "size", "template", F.col("pos").alias("item_pos"),
-                                F.col("slots").alias("item_slots"), "total"), ["h", "size", "template"]))
-    values = F.arrays_zip(F.col("item_slots").alias("x"), F.col("doc_slots").alias("y"))
+                                F.col("slots").alias("item_slots"), "total"), ["h", "size", "template"])
+             .where("not first or item_pos = 0"))
+    values = F.filter(F.arrays_zip(F.col("item_slots").alias("x"), F.col("doc_slots").alias("y")), lambda v: v["x"].isNotNull())
     along = (pairs.groupBy("doc_id", "item_id", "total", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
              # both sets are bounded by the item's length
              .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_set(values))).alias("v")))

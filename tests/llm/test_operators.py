@@ -267,6 +267,19 @@ def test_decontamination(spark, odd, empty):
     assert decontam.contaminated(empty, bench).count() == 0 and decontam.contaminated(odd, bench.limit(0)).count() == 0
 
 
+def test_capitalised_items_inside_sentences(spark):
+    """The first word of an item looks like a name, or like a part of one, in the middle of a sentence."""
+    items = [(1, "What is the total weight of these boxes"), (2, "Which green ideas sleep furiously?"), (3, "If Maria has 12 old green apples, does Maria keep them all?"),
+             (4, "Days before the old market opened were long")]
+    docs = [(1, "they asked him What is the total weight of these boxes today"), (2, "Then Bob (What is the total weight of these boxes) left"),
+            (3, "we ask Bob What is the total weight of these boxes"), (4, "we ask, Which green ideas sleep furiously in winter"),
+            (5, "they ask, If Anna Lee has 7 old green apples, does Anna Lee keep them all?"), (6, "then Bob If Maria has 12 old green apples, does Maria keep them all?"),
+            (7, "they ask, If Anna has 7 old green apples, does Bob keep them all?"), (8, "it took 5 Days before the old market opened were long"),
+            (9, "they asked him Who is the total weight of these boxes today")]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, 3), (8, 4)]
+
+
 def test_decontamination_finds_all_passages(spark, texts):
     items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op4_decontamination"](spark, SF).collect()}
