@@ -280,6 +280,22 @@ def test_capitalised_items_inside_sentences(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, 3), (8, 4)]
 
 
+def test_items_without_a_window_of_plain_words(spark):
+    """Items full of slots, and texts in scripts without blanks, stand in documents as they are or as whole templates."""
+    full = "Add 12 apples to 30 km and 7 kg, take 9 kg and 4 km from 6 pears"
+    items = [(1, "What is 12 plus 30?"), (2, full), (3, "小明有12个苹果，又买了30个，现在一共有多少个苹果？"), (4, "東京は日本の首都ですか"),
+             (5, "เมืองหลวงของประเทศไทยคืออะไร"), (6, "12 plus 30"), (7, "你好"), (8, "Give 5 km to Maria, then see Maria"), (9, None),
+             (8, "Take 7 kg to Anna, then see Anna")]
+    docs = [(1, "they asked, What is 12 plus 30? and left"), (2, "What is 13 plus 30?"), (3, "so " + full + " at last"),
+            (4, full.replace("12", "13").replace("30", "31")), (5, full.replace("4 km", "4 kg")), (6, "他问：小明有12个苹果，又买了30个，现在一共有多少个苹果？好的。"),
+            (7, "小明有15个苹果，又买了40个，现在一共有多少个苹果？"), (8, "先生は東京は日本の首都ですかと聞いた"), (9, "ถามว่าเมืองหลวงของประเทศไทยคืออะไรครับ"),
+            (10, "你好 and 12 plus 30"), (11, "we give 5 km to Maria, then see Maria Lee there"), (12, "小明有12个苹果"), (13, ""), (14, "ประเทศไทย"),
+            (15, "Give 5 km to Anna, then see Anna")]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(1, 1), (3, 2), (4, 2), (6, 3), (7, 3), (8, 4), (9, 5), (11, 8)]
+    assert all(0 < r["coverage"] <= 1 for r in got)
+
+
 def test_decontamination_finds_all_passages(spark, texts):
     items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op4_decontamination"](spark, SF).collect()}
