@@ -29,6 +29,28 @@ UNITS = frozenset("""
 s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years
 dollar dollars cent cents euro euros pound pounds usd eur gbp k mb gb tb hz khz mhz ghz w kw v degrees celsius fahrenheit
 """.split())
+#: Spellings of one unit, the last of each line; as slot values they are the same.
+SAME_UNITS = {w: line.split()[-1] for line in """
+% percent
+inches inch
+feet ft
+yards yard
+miles mile
+lbs lb
+tons ton
+l liters litre litres liter
+s sec seconds second
+minutes min minute
+h hr hours hour
+days day
+weeks week
+months month
+years year
+usd dollars dollar
+cents cent
+eur euros euro
+pounds pound
+""".split("\n") for w in line.split()}
 
 # blocks of scripts without blanks between words: of ideographs, and of letters and syllables
 IDEOGRAPHS = ((0x3005, 0x3007), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
@@ -226,7 +248,7 @@ class Templates:
             at[0] = head + 1
         words = [self.words(p) for p in at]
         kinds = self.kind[i:i + w].tolist()
-        slots = [x for k, x in zip(kinds, words) if k != _WORD]
+        slots = [SAME_UNITS.get(x, x) if k == _UNIT else x for k, x in zip(kinds, words) if k != _WORD]
         if head is not None:
             kinds, words = [_WORD, *kinds], [self.line[self.start[head]:self.end[head]].lower(), *words]
         return " ".join(_SLOTS.get(k, x) for k, x in zip(kinds, words)), slots
@@ -352,7 +374,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, windows: int = WINDOWS)
     An item counts as found if ``windows`` of its windows (or all, if it has
     fewer) stand in the document with consistent slots: along one alignment
     each number, name and unit of the item has one value in the document and
-    no two of one kind share a value.  An item's first word is a plain one,
+    no two of one kind share a value; spellings of a unit, singular and plural,
+    are one value.  An item's first word is a plain one,
     also where it stands inside a sentence and looks like a name or a unit.
     Items of 5 to 7 tokens are one window and must stand as a whole.
 

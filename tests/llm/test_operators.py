@@ -296,6 +296,13 @@ def test_items_without_a_window_of_plain_words(spark):
     assert all(0 < r["coverage"] <= 1 for r in got)
 
 
+def test_units_in_singular_and_plural_are_one_value(spark):
+    text = "The slow old train needs 1 hour to reach the market and then 3 hours to come back to the green farm again today"
+    docs = [(1, text.replace("1 hour ", "2 hours ").replace("3 hours", "4 hours")), (2, text.replace("1 hour ", "2 hours ").replace("3 hours", "4 days"))]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, text)], "item_id long, text string")).collect()
+    assert [r["doc_id"] for r in got] == [1]
+
+
 def test_decontamination_finds_all_passages(spark, texts):
     items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op4_decontamination"](spark, SF).collect()}
