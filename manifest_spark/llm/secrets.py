@@ -19,6 +19,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Candidates of the Markov models: unbroken runs of so many signs with a digit and a letter.
 LEAST = 20
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST
+#: Pieces of a run that is no random string as a whole: parted at = and /, and of what is left also at _ and -.
+PIECES = (r"[A-Za-z0-9+_-]{%d,}" % LEAST, r"[A-Za-z0-9+]{%d,}" % LEAST)
 #: Most documents and pairs of their words that the models are trained on, and a secret's mean log-likelihood ratio per step.
 SAMPLE_ROWS, SAMPLE_PAIRS = 200, 4000
 RATIO = 0.9
@@ -98,6 +100,21 @@ def _spans(text: Column, pattern: str, hits: Column, kind: str) -> Column:
     return F.when(F.size(hits) > 0, F.aggregate(lengths, state, step, lambda acc: acc["out"])).otherwise(empty)
 
 
+def _random(run: Column, text: Column, table: list[float]) -> Column:
+    """Spans of the random strings of a candidate run: the whole run, or else its pieces that are random by themselves."""
+    good = lambda s: s.rlike("[0-9]") & s.rlike("[A-Za-z]") & (_ratio(s, table) >= RATIO)
+
+    def pieces(pattern):
+        hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        both = F.filter(F.arrays_zip(_spans(text, pattern, hits, "random").alias("s"), hits.alias("text")), lambda p: good(p["text"]))
+        return F.transform(both, lambda p: F.struct((run["start"] + p["s"]["start"]).alias("start"), p["s"]["rank"].alias("rank"),
+                                                    (run["start"] + p["s"]["end"]).alias("end"), p["s"]["kind"].alias("kind")))
+
+    coarse, fine = map(pieces, PIECES)
+    inner = F.filter(fine, lambda p: ~F.exists(coarse, lambda c: (c["start"] < p["end"]) & (p["start"] < c["end"])))
+    return F.when(good(text), F.array(run)).otherwise(F.concat(coarse, inner))
+
+
 def with_spans(docs: DataFrame, table: list[float], text_col: str = "text", prefix: str = "__secret_") -> DataFrame:
     """``docs`` with array columns of spans by kind: prefix + assign, access, hex, random, base and all.
 
@@ -120,10 +137,10 @@ def with_spans(docs: DataFrame, table: list[float], text_col: str = "text", pref
         prefix + "access": found["access"], prefix + "hex": found["hex"],
         prefix + "random": F.when(
             F.exists(c("h_random"), lambda x: x.rlike("[0-9]") & x.rlike("[A-Za-z]")),
-            F.transform(F.filter(
+            F.flatten(F.transform(F.filter(
                 F.arrays_zip(_spans(text, RUN, c("h_random"), "random").alias("s"), c("h_random").alias("text")),
-                lambda s: s["text"].rlike("[0-9]") & s["text"].rlike("[A-Za-z]") & (_ratio(s["text"], table) >= RATIO)),
-                lambda s: s["s"])).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>"))})
+                lambda s: s["text"].rlike("[0-9]") & s["text"].rlike("[A-Za-z]")),
+                lambda s: _random(s["s"], s["text"], table)))).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>"))})
     out = out.withColumn(prefix + "base", F.sort_array(F.concat(c("assign"), c("access"), c("hex"))))
     out = out.withColumn(prefix + "random", F.filter(c("random"), lambda r: ~F.exists(
         c("base"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))))

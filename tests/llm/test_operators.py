@@ -174,6 +174,18 @@ def test_secret_models(spark):
     assert got == {1: "random:4:32", 2: "", 3: "random:0:24", 4: ""}
 
 
+def test_keys_glued_to_names_and_paths(spark):
+    table_ = secrets.train(table(spark, SF, "documents"))
+    k = "xV9r2LkQpZ7mW4tYbN8s"
+    heads = ["", "client_credential=", "DATABASE_PRIVATE_SIGNING_KEY=", "the/path/to/some/long/folder/", "name_of_the_signing_key_"]
+    rows = [(i, f"see {h}{k} here") for i, h in enumerate(heads)] + [(9, "see client_credential=load_training_table_v2 here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs, table_).collect()}
+    assert spans[9] == "" and all(spans[i] for i in range(len(heads)))
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(docs, table_).collect()}
+    assert all(k not in clean[i] and clean[i].endswith("[secret] here") for i in range(len(heads)))
+
+
 def test_rules(odd, empty):
     got = sorted((tuple(r)[:6] for r in rules.judge(odd).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()), key=key)
