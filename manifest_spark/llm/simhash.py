@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bytes_of, chunks, thinned, written
 
@@ -255,29 +256,53 @@ def near_copies(docs: DataFrame, k: int = SHINGLE, bits: int = MAX_BITS) -> Data
     not read.  Exact copies meet in one fingerprint before anything is
     compared, so groups of copies cost one node each.
     """
+    return _in_groups(docs, k, bits).select("doc_id", "fp", "component_id")
+
+
+def _in_groups(docs: DataFrame, k: int, bits: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every row; ``root`` tells groups apart, also those with one smallest id."""
     fps = written(fingerprints(docs, k), "fingerprints")
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     root = groups(links(nodes, bits))
     member = nodes.join(root, nodes["fp"] == root["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = member.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = member.join(least, "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def _with_fingerprint(docs: DataFrame, k: int, name: str) -> DataFrame:
+    """``docs`` with all their columns and the fingerprint."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            fp = np.array([fingerprint(t, k) for t in bytes_of(pa.RecordBatch.from_arrays([b.column(at)], names=["text"]))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def representatives(docs: DataFrame, k: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row left of each group of near copies: the one with the smallest id.
 
-    Of rows that repeat that id the one with the smallest text stays.  Rows
-    with a null id have no name to be told by and stay.  All columns are kept.
+    Of rows that repeat that id in one group the one with the smallest text
+    stays; where an id stands on texts of several groups, each row counts in
+    its own group only.  Rows with a null id have no name to be told by and
+    stay.  All columns are kept.
     """
-    found = written(near_copies(docs, k, bits), "near-copies")
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    rest = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti")
-    if not again.limit(1).count():
-        return rest.select(docs.columns)
-    from pyspark.sql import Window
-    order = Window.partitionBy("doc_id").orderBy("text")
-    rank = "__rank_in_copies"
-    once = docs.join(again, "doc_id", "left_semi").withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
-    return rest.select(docs.columns).unionByName(once.select(docs.columns))
+    found = written(_in_groups(docs, k, bits), "near-copies")
+    first = F.col("doc_id") == F.col("component_id")
+    # ids of which rows go: all of them (first = 0), or some, which their fingerprints tell
+    lost = written(found.where("doc_id is not null").groupBy("doc_id")
+                   .agg(F.count(F.when(first, 1)).alias("first"), F.count(F.lit(1)).alias("n"))
+                   .where("first <> 1 or n > 1").select("doc_id", "first"), "near-copy-ids")
+    rest = docs.join(lost.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    several = lost.where("first > 0").select("doc_id")
+    if not several.limit(1).count():
+        return rest
+    fp, root, rank = "__fp_in_copies", "__root_in_copies", "__rank_in_copies"
+    rows = _with_fingerprint(docs.join(several, "doc_id", "left_semi").select(docs.columns), k, fp)
+    kept = found.where(first).join(several, "doc_id", "left_semi").select("doc_id", F.col("fp").alias(fp), F.col("root").alias(root)).distinct()
+    order = Window.partitionBy("doc_id", root).orderBy("text")
+    once = rows.join(kept, ["doc_id", fp]).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return rest.unionByName(once.select(docs.columns))

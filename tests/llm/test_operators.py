@@ -218,6 +218,16 @@ def test_near_copies(odd, empty):
     assert sorted(named) == sorted({c for r, c in zip(rows, comp) if r[0] is not None})
 
 
+def test_one_id_on_several_texts(spark):
+    """A copy's row goes, not the other text that bears its id; two groups with one smallest id keep a row each."""
+    a, b, c = ("green ideas sleep very furiously in winter", "the old market opens at nine on days of rest", "a farmer walks to the river with twelve baskets")
+    rows = [(1, a, 0), (5, a, 1), (5, b, 2), (7, b, 3), (5, c, 4), (5, c, 5), (None, c, 6), (8, "something else entirely stands in here", 7)]
+    left = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(3))
+    assert left.columns == ["doc_id", "text", "row"]
+    got = left.collect()
+    assert sorted(r["row"] for r in got if r["row"] not in (4, 5)) == [0, 2, 6, 7] and len(got) == 5
+
+
 def clustered(n, seed):
     """Fingerprints with chains and dense balls: walks of one to three flipped bits, and neighbours of one point."""
     rng = random.Random(seed)
