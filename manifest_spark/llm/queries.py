@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, licenses, quality, rules, secrets, simhash, token_files, toxicity
+from . import bpe, decontam, langid, licenses, parity_join, quality, rules, secrets, simhash, token_files, toxicity
 from .common import held_out, table
 
 QUERIES: dict = {}
@@ -86,6 +86,11 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op13_parity_join(spark, sf_dir):
+    return parity_join.jaccard_groups(documents(spark, sf_dir))
+
+
 ORACLE["op10_quality_rules"] = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
