@@ -31,6 +31,8 @@ BAND = 1.5
 FEW = 8
 #: Bytes of a word that is kept as it is.
 LONG_WORD = 64
+#: Names of documents that are sent to all tasks to fetch their texts (32 bytes each).
+FETCH = 500_000
 #: Documents in a block of the comparison of a chunk shared by many documents of several components.
 BLOCK = 4096
 
@@ -89,9 +91,10 @@ class Bands:
     """Bands of sizes; for each the number of chunks of its sketches, and how many of them may be empty.
 
     A band's chunks are so many that two linked documents, the larger one in
-    the band, share one chunk more than ``empty``.  Documents with at most
-    ``empty`` empty chunks leave these out: of the shared ones at least one is
-    not empty then.  Documents with more (few) keep them, to meet each other.
+    the band, share ``shared`` chunks more than ``empty``.  Documents with at
+    most ``empty`` empty chunks leave these out: of the shared ones at least
+    ``shared`` are not empty then.  Documents with more (few) keep them, to
+    meet each other.  So documents with fewer common keys need no comparison.
     """
 
     def __init__(self, percent: int = LEAST_PERCENT, ratio: float = BAND):
@@ -103,12 +106,12 @@ class Bands:
             # the band above must take all partners of a size, so that two bands hold them
             high = max(low + 1, int(low * max(self.ratio, 100 / self.percent)))
             differ = distance_bound(high - 1, high - 1, self.percent)
-            m, empty = differ + 2, 1
+            shared, empty = 2 + differ // 10, 1
             least = max(1, -(-low * self.percent // 100))
             for _ in range(4):
+                m = differ + shared + empty
                 empty = min(differ + 1, 1 + math.ceil(2 * m * math.exp(-least / m)))
-                m = differ + 1 + empty
-            self.cuts.append((differ, m, empty))
+            self.cuts.append((differ, differ + shared + empty, empty, shared))
             self.edges.append(high)
         return int(np.searchsorted(self.edges, n, "right")) - 1
 
@@ -118,12 +121,16 @@ class Bands:
         above = self.band(n * 100 // self.percent)
         return [k for k in range(own, above + 1) if self.cuts[k][0]]  # sets that must be equal need no chunks
 
+    def shared(self, a: int, b: int) -> int:
+        """Keys that linked documents of these sizes have in common."""
+        return self.cuts[self.band(max(a, b))][3]
+
     def keys(self, tokens: np.ndarray) -> np.ndarray:
         """Hashes of (band, chunk, its set bits) for all chunks of a document that are not left out."""
         out, at = [], places(tokens)
         spread = mixed(at.astype(np.uint64) + _ODD[0])
         for band in self.of(len(tokens)):
-            differ, m, empty = self.cuts[band]
+            _, m, empty, _ = self.cuts[band]
             chunk = at * m >> SKETCH_BITS
             first = np.concatenate([[0], np.flatnonzero(chunk[1:] != chunk[:-1]) + 1]) if len(at) else np.empty(0, np.int64)
             mine = chunk[first] if len(at) else np.empty(0, np.int64)
@@ -147,32 +154,44 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = LEAST_PERCENT) -> bool:
 
 # ---- the join ----------------------------------------------------------------------
 
+def dense(tokens: np.ndarray) -> bytes:
+    """A sketch folded to two to four bits a token (a power of two of 64-bit words): still one flip a token."""
+    bits = 64 << min(SKETCH_BITS - 6, max(0, math.ceil(math.log2(len(tokens) / 32))))
+    return np.packbits((np.bincount(places(tokens) % bits, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes], words: int) -> np.ndarray:
+    """Sketches of one width folded further to ``words`` words each: the distance stays a lower bound."""
+    return np.bitwise_xor.reduce(np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1, words), axis=1)
+
+
 def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """A row per document: (row, doc_id, fetch, n, s1, s2, keys); s1 and s2 are 128 bits that name its set.
+    """A row per document: (row, doc_id, fetch, n, s1, s2, keys, sketch); s1 and s2 are 128 bits that name its set.
 
-    ``keys`` are null where the same task has met the set before, so that
-    copies do not meet in the join.
+    ``keys`` and ``sketch`` are null where the same task has met the set
+    before, so that copies do not meet in the join.
     """
     def run(batches):
         shingles, bands, seen = Shingles(k), Bands(percent), Memo(500_000)
         for b in chunks(batches):
-            n, s1, s2, keys = [], [], [], []
+            n, s1, s2, keys, sketch = [], [], [], [], []
             for t in bytes_of(b):
                 tokens = shingles.of(t)
                 name = xxhash.xxh3_128_digest(tokens.tobytes())
                 n.append(len(tokens))
                 s1.append(int.from_bytes(name[:8], "little", signed=True))
                 s2.append(int.from_bytes(name[8:], "little", signed=True))
-                if len(tokens) and seen.missing([name]):
+                new = len(tokens) and seen.missing([name])
+                if new:
                     seen.young[name] = True
-                    keys.append(bands.keys(tokens).view(np.int64))
-                else:
-                    keys.append(None)
+                keys.append(bands.keys(tokens).view(np.int64) if new else None)
+                sketch.append(dense(tokens) if new else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("fetch"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
-                 pa.array(s2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fetch", "n", "s1", "s2", "keys"])
+                [b.column("doc_id"), b.column("fetch"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                names=["doc_id", "fetch", "n", "s1", "s2", "keys", "sketch"])
 
-    out = _read(docs).mapInArrow(run, "doc_id long, fetch long, n long, s1 long, s2 long, keys array<long>")
+    out = _read(docs).mapInArrow(run, "doc_id long, fetch long, n long, s1 long, s2 long, keys array<long>, sketch binary")
     return written(out.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -247,8 +266,27 @@ def _candidates(sets: DataFrame, few: int) -> DataFrame:
                    .mapInArrow(runs(few), "key long, a long, b long"), "candidates")
 
 
-def _tokens(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
-    """(node, n, tokens) of ``needed`` (node, fetch, s1, s2), made from the texts again."""
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, common) with enough common keys whose sketches are as near as linked sets' are."""
+    def run(batches):
+        bands = Bands(percent)
+        for b in batches:
+            keep = []
+            for n, m, common, x, y in zip(*(b.column(c).to_pylist() for c in ("na", "nb", "common", "sa", "sb"))):
+                if 100 * min(n, m) < percent * max(n, m) or common < bands.shared(n, m):
+                    keep.append(False)
+                    continue
+                words = min(len(x), len(y)) // 8
+                keep.append(int(np.bitwise_count(folded([x], words) ^ folded([y], words)).sum()) <= distance_bound(n, m, percent))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    x = sets.select(F.col("row").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    y = sets.select(F.col("row").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    return written(pairs.where("common > 1").join(x, "a").join(y, "b").mapInArrow(run, "a long, b long"), "near-pairs")
+
+
+def _tokens(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, tokens) of the nodes of ``pairs``, made from the texts again."""
     def run(batches):
         shingles = Shingles(k)
         for b in chunks(batches):
@@ -261,8 +299,12 @@ def _tokens(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
             out = pa.RecordBatch.from_arrays([b.column("node"), pa.array(tokens, pa.binary())], names=["node", "tokens"])
             yield out.filter(pa.array(fits, pa.bool_()))
 
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    needed = written(nodes.join(wanted, "node").select("node", "fetch", "s1", "s2"), "needed")
+    if needed.count() <= FETCH:  # four numbers each; more are fetched by a shuffled join
+        needed = F.broadcast(needed)
     rows = _read(docs).join(needed, "fetch").select("node", "s1", "s2", "text")
-    return written(rows.mapInArrow(run, "node long, tokens binary").dropDuplicates(["node"]), "tokens")
+    return written(rows.mapInArrow(run, "node long, tokens binary"), "tokens").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -286,14 +328,7 @@ def _apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
 
 
-def dense(tokens: np.ndarray, words: int) -> np.ndarray:
-    """A sketch folded to ``words`` 64-bit words (a power of two): still one flip a token."""
-    at = places(tokens) % (64 * words)
-    bits = np.bincount(at, minlength=64 * words).astype(np.uint8) & 1
-    return np.packbits(bits, bitorder="little").view(np.uint64)
-
-
-def _crowds(many: DataFrame, tokens: DataFrame, root: DataFrame, percent: int, block: int) -> DataFrame:
+def _crowds(many: DataFrame, sets: DataFrame, root: DataFrame, percent: int, block: int) -> DataFrame | None:
     """Pairs (a, b) across components among rows ``many(key, node)`` of keys that many rows share, by sketches.
 
     Most such keys belong to one group of near copies, which is one component
@@ -306,17 +341,6 @@ def _crowds(many: DataFrame, tokens: DataFrame, root: DataFrame, percent: int, b
     open_ = written(open_.where("low <> high").select("key", "size"), "open-keys")
     if open_.isEmpty():
         return None
-
-    def sketch(batches):
-        for b in batches:
-            n, out = [], []
-            for x in b.column("tokens"):
-                t = np.frombuffer(x.as_buffer(), np.uint64)
-                n.append(len(t))
-                out.append(dense(t, 1 << min(SKETCH_BITS - 6, max(0, math.ceil(math.log2(len(t) / 8))))).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(n, pa.int64()), pa.array(out, pa.binary())], names=["node", "n", "sketch"])
-
-    sketches = tokens.mapInArrow(sketch, "node long, n long, sketch binary")
     rows = members.join(open_, "key").withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("int"))
     # a row's block by its hash: blocks are about even and no numbering of a large key is needed
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -324,33 +348,27 @@ def _crowds(many: DataFrame, tokens: DataFrame, root: DataFrame, percent: int, b
     rows = rows.select("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "root")
 
     def compare(part: pa.Table) -> pa.Table:
-        node, root_, mine = (part.column(c).to_numpy() for c in ("node", "root", "mine"))
-        n = part.column("n").to_numpy()
-        low, high = part.column("low")[0].as_py(), part.column("high")[0].as_py()
-        raw, a, b = part.column("sketch").to_pylist(), [], []
+        node, root_, mine, n = (part.column(c).to_numpy() for c in ("node", "root", "mine", "n"))
+        raw = part.column("sketch").to_pylist()
         width = np.array([len(x) // 8 for x in raw])
-        left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+        left = np.flatnonzero(mine == part.column("low")[0].as_py())
+        right = np.flatnonzero(mine == part.column("high")[0].as_py())
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for w in np.unique(width[left]):
-            # sketches of two widths are compared at the smaller one: folding keeps the lower bound
             i = left[width[left] == w]
             for v in np.unique(width[right]):
-                j = right[width[right] == v]
-                c = min(w, v)
-                x = np.bitwise_xor.reduce(np.frombuffer(b"".join(raw[k] for k in i), np.uint64).reshape(len(i), -1, c), axis=1)
-                y = np.bitwise_xor.reduce(np.frombuffer(b"".join(raw[k] for k in j), np.uint64).reshape(len(j), -1, c), axis=1)
-                step = max(1, (1 << 20) // max(1, len(j) * c))
+                j, c = right[width[right] == v], min(w, v)
+                x, y = folded([raw[t] for t in i], c), folded([raw[t] for t in j], c)
+                step = max(1, (1 << 20) // (len(j) * c))
                 for at in range(0, len(i), step):
                     s = i[at:at + step]
-                    both = n[s][:, None] + n[j][None, :]
-                    near = np.bitwise_count(x[at:at + step, None, :] ^ y[None, :, :]).sum(2, dtype=np.int64) <= both * (100 - percent) // (100 + percent)
-                    near &= root_[s][:, None] != root_[j][None, :]
-                    p, q = np.nonzero(near)
+                    near = np.bitwise_count(x[at:at + step, None, :] ^ y[None, :, :]).sum(2, dtype=np.int64)
+                    p, q = np.nonzero((near <= distance_bound(n[s][:, None], n[j][None, :], percent)) & (root_[s][:, None] != root_[j][None, :]))
                     a.append(np.maximum(node[s[p]], node[j[q]]))
                     b.append(np.minimum(node[s[p]], node[j[q]]))
-        a, b = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (a, b))
-        return pa.table({"a": a, "b": b})
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    blocks = rows.join(sketches, "node").groupBy("key", "low", "high")
+    blocks = rows.join(sets.select(F.col("row").alias("node"), "n", "sketch"), "node").groupBy("key", "low", "high")
     return written(blocks.applyInArrow(compare, "a long, b long").distinct(), "crowd-pairs")
 
 
@@ -368,26 +386,28 @@ def jaccard_groups(docs: DataFrame, k: int = SHINGLE, percent: int = LEAST_PERCE
     """
     sets = _sets(docs, k, percent)
     full = sets.where("n > 0")
-    nodes = written(full.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"),
-                                                  F.min_by("fetch", "row").alias("fetch")), "set-nodes")
-    ids = written(full.select("row", "s1", "s2").join(nodes.select("s1", "s2", "node"), ["s1", "s2"]).select("row", "node"), "set-ids")
-    cands = _candidates(sets, few)
+    first = F.when(F.col("keys").isNotNull(), F.col("row"))
+    nodes = written(full.groupBy("s1", "s2").agg(F.min(first).alias("node"), F.min("doc_id").alias("least"), F.min_by("fetch", first).alias("fetch")),
+                    "set-nodes")
+    ids = written(sets.where("keys is not null").select("row", "s1", "s2").join(nodes.select("s1", "s2", "node"), ["s1", "s2"])
+                  .select("row", "node"), "set-ids")
     ia, ib = ids.select(F.col("row").alias("a"), F.col("node").alias("na")), ids.select(F.col("row").alias("b"), F.col("node").alias("nb"))
-    pairs = written(cands.where("key is null").select("a", "b").distinct().join(ia, "a").join(ib, "b").where("na <> nb")
-                    .select(F.greatest("na", "nb").alias("a"), F.least("na", "nb").alias("b")).distinct(), "pairs")
-    many = written(cands.where("key is not null").select("key", "a").join(ia, "a").select("key", F.col("na").alias("node")).distinct(), "crowds")
-    wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(many.select(F.col("node").alias("a"))).distinct()
-    needed = nodes.join(wanted.select(F.col("a").alias("node")), "node").select("node", "fetch", "s1", "s2")
-    tokens = _tokens(docs, needed, k)
+    cands = _candidates(sets, few)
+    met = written(cands.where("key is null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")).where("common > 1")
+                  .join(ia, "a").join(ib, "b").where("na <> nb")
+                  .groupBy(F.greatest("na", "nb").alias("a"), F.least("na", "nb").alias("b")).agg(F.max("common").alias("common")), "pairs")
+    pairs = _near(met, sets, percent)
 
     # the smallest partner of each node first: what is in one component by that need not be verified
+    tokens = _tokens(docs, pairs, nodes, k)
     edges = _verified(pairs.groupBy("a").agg(F.min("b").alias("b")), tokens, percent)
+    edges = edges.unionByName(_verified(_apart(pairs, groups(edges)), tokens, percent))
     root = groups(edges)
-    edges = edges.unionByName(_verified(_apart(pairs, root), tokens, percent))
-    root = groups(edges)
-    more = _crowds(many, tokens, root, percent, block)
-    if more is not None:
-        edges = edges.unionByName(_verified(more, tokens, percent))
+    # pairs that met under a crowded key only
+    many = cands.where("key is not null").select("key", "a").join(ia, "a").select("key", F.col("na").alias("node")).distinct()
+    crowd = _crowds(many, sets, root, percent, block)
+    if crowd is not None:
+        edges = edges.unionByName(_verified(crowd, _tokens(docs, crowd, nodes, k), percent))
         root = groups(edges)
 
     member = nodes.join(root, "node", "left").select("s1", "s2", "least", F.coalesce("root", "node").alias("root"))
