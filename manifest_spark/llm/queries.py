@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, langid, licenses, parity_join, quality, rules, secrets, simhash, token_files, toxicity
+from . import bpe, decontam, filter_audit, langid, licenses, parity_join, quality, rules, secrets, simhash, token_files, toxicity, whitening
 from .common import held_out, table
 
 QUERIES: dict = {}
@@ -86,6 +86,48 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+             min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS mask, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic
+      FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS bad FROM m GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before
+      FROM o, (SELECT unnest(range(1, 6)) AS step) t),
+r AS (SELECT part, filter_order, step, x,
+             coalesce(sum(n) FILTER (len(translate(mask, before || x, '')) = len(mask)), 0) AS kept,
+             coalesce(sum(n) FILTER (contains(mask, x) AND len(translate(mask, before, '')) = len(mask)), 0) AS removed,
+             coalesce(sum(n) FILTER (contains(mask, x) AND len(translate(mask, before, '')) < len(mask)), 0) AS redundant,
+             coalesce(sum(n) FILTER (mask = x), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (contains(mask, x) AND len(translate(mask, before, '')) = len(mask)), 0) AS good_lost,
+             coalesce(sum(bad) FILTER (contains(mask, x) AND len(translate(mask, before, '')) = len(mask)), 0) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r"""
+
+
 @query
 def op13_parity_join(spark, sf_dir):
     return parity_join.jaccard_groups(documents(spark, sf_dir))
