@@ -144,7 +144,7 @@ class SparkX:
     def rx(self, text, pattern: str, group: int = 1, ignorecase=True, first_match=True):
         """First match, capture ``group``; '' when there is no match."""
         form = rx.java(pattern, ignorecase, first_match)
-        if rx.block_parts(pattern):
+        if rx.block_parts(pattern) or rx.seek_parts(pattern):
             return self._by_text(form, lambda f: F.array_join(F.regexp_extract_all(text, F.lit(f), F.lit(1)), ""))
         return self._by_text(form, lambda f: F.regexp_extract(text, f, group))
 
@@ -155,10 +155,17 @@ class SparkX:
         return found if guard is None else F.when(self.rx_test(text, guard), found).otherwise("")
 
     def rx_all(self, text, pattern: str, group: int = 1, ignorecase=True):
-        return self._by_text(rx.java(pattern, ignorecase), lambda f: F.regexp_extract_all(text, F.lit(f), F.lit(group)))
+        found = self._by_text(rx.java(pattern, ignorecase), lambda f: F.regexp_extract_all(text, F.lit(f), F.lit(group)))
+        return F.array_remove(found, "") if rx.seek_parts(pattern) else found
+
+    def rx_count(self, text, pattern: str, ignorecase=True):
+        """Number of matches of a rule that has a group, or of a plain pattern."""
+        if rx.seek_parts(pattern):
+            return F.size(self.rx_all(text, pattern, 1, ignorecase))
+        return self._by_text(rx.java(pattern, ignorecase), lambda f: F.regexp_count(text, F.lit(f)))
 
     def rx_test(self, text, pattern: str, ignorecase=True):
-        if rx.block_parts(pattern):
+        if rx.block_parts(pattern) or rx.seek_parts(pattern):
             return self.rx(text, pattern, 1, ignorecase) != ""
         return self._by_text(rx.java(pattern, ignorecase, True), lambda f: F.regexp_like(text, F.lit(f)))
 
@@ -192,9 +199,6 @@ class SparkX:
     def empty_array(self):
         return F.array().cast("array<string>")
 
-    def slice_head(self, arr, n: int):
-        return F.slice(arr, 1, n)
-
     # -- formatting (fixture rendering) -------------------------------------
     def to_str(self, x):
         return x.cast("string")
@@ -369,9 +373,6 @@ class SqlX:
     def empty_array(self):
         return "CAST([] AS VARCHAR[])"
 
-    def slice_head(self, arr, n):
-        return f"({arr})[1:{n}]"
-
     def to_str(self, x):
         return f"CAST({x} AS VARCHAR)"
 

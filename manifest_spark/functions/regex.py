@@ -14,6 +14,11 @@ change which text a rule captures:
   are rewritten to an alternation for find-all (:func:`block_scan`): a head
   with its block, whose match takes the rest of the text along, or a head
   without, whose match takes along what can hold no head with a block.
+* Seek rules ``HEAD.*?TARGET`` and ``HEAD[^:]*:TARGET`` scan the rest of the
+  line (or up to the colon) once for each head in vain, where no target
+  follows.  They become an alternation too (:func:`seek_scan`): a head with its
+  target, or a head without, which takes along the rest of the gap, as no later
+  head in it can have a target either.
 * Search rules that begin with a greedy class run ``([C]+`` are anchored at
   run starts with ``(?<![C])``: the leftmost match of such a rule always starts
   at a run start, and testing only run starts turns a quadratic scan of long
@@ -24,6 +29,7 @@ change which text a rule captures:
 from __future__ import annotations
 
 import re
+from re import _constants, _parser
 
 JAVA_FLAGS_CI = "(?idU)"
 JAVA_FLAGS_CS = "(?dU)"
@@ -95,6 +101,45 @@ def block_scan(p: str) -> str:
     return f"{head}{block}[\\s\\S]*+|(?={head}[^\\n]){word}{lines}{inside}"
 
 
+#: How a gap is written, and the signs it may hold.
+_GAPS = {".*?": r"[^\n]", "[^:]*": "[^:]"}
+_PLAIN_HEAD = re.compile(r"(?:\(\?:)?[\w /&|]+\)?")
+
+
+def _first_group(parsed):
+    """The parsed body of group 1."""
+    for o, x in parsed:
+        if o is _constants.SUBPATTERN:
+            return x[3] if x[0] == 1 else _first_group(x[3])
+    return None
+
+
+def seek_parts(p: str) -> tuple[str, str] | None:
+    """(head, gap) of a rule that seeks a target behind a head of plain words, None for other rules."""
+    found = min(((p.find(g), g) for g in _GAPS if g in p), default=None)
+    if found is None or not _PLAIN_HEAD.fullmatch(p[:found[0]].replace(r"\s*", "")):
+        return None
+    body = _first_group(_parser.parse(p))
+    if body is None or not body.getwidth()[0]:
+        return None  # an empty capture could not be told from a head without a target
+    return p[:found[0]], found[1]
+
+
+def seek_scan(p: str, once: bool) -> str:
+    """A find-all pattern whose non-empty first groups are the first captures of seek rule ``p`` (Python syntax).
+
+    A head without a target takes along the rest of its gap: a target there
+    would be the first head's, too.  Only a head that begins in the gap and
+    ends behind it, over a line break between its words, is left standing.
+    With ``once`` the first match takes along the rest of the text.
+    """
+    head, gap = seek_parts(p)
+    words = head.split(r"\s*")
+    begun = [r"\s*".join(words[:i]) + r"[\s&&[^\n]]*\n" for i in range(1, len(words))] if gap == ".*?" else []
+    rest = f"(?:(?!{'|'.join(begun)}){_GAPS[gap]})*+" if begun else f"{_GAPS[gap]}*+"
+    return f"{p}{'[\\s\\S]*+' if once else ''}|{head}{rest}"
+
+
 _RUN_START = re.compile(r"^\((\[[^\]]+\])\+")
 
 
@@ -141,8 +186,13 @@ def _python_whitespace(p: str) -> str:
 
 
 def java(p: str, ignorecase: bool = True, first_match: bool = False) -> str:
-    """Java-regex form of a Python-syntax rule pattern (of a block rule: its find-all form)."""
-    q = block_scan(p) if block_parts(p) else anchor_run_start(p) if first_match else p
+    """Java-regex form of a Python-syntax rule pattern (of a block or seek rule: its find-all form)."""
+    if block_parts(p):
+        q = block_scan(p)
+    elif seek_parts(p):
+        q = seek_scan(p, first_match)
+    else:
+        q = anchor_run_start(p) if first_match else p
     return (JAVA_FLAGS_CI if ignorecase else JAVA_FLAGS_CS) + _python_whitespace(q)
 
 
@@ -157,7 +207,3 @@ def re2(p: str, ignorecase: bool = True) -> str:
     q = p.replace("(?=", "(?:")
     return ("(?i)" if ignorecase else "") + q
 
-
-def java_literal(s: str) -> str:
-    """Java-regex literal for a fixed string."""
-    return r"\Q" + s.replace(r"\E", r"\E\\E\Q") + r"\E"

@@ -13,11 +13,34 @@ from pyspark.sql import functions as F
 
 from ..functions import regex as rx
 from ..functions.dialect import SparkX, q
+from ..functions.literals import LiteralIndex, folded
 from ..plans import rules as R
 from ..plans.extract import build
 from ..plans.rules import FIELDS, LOCAL, RuleSet
+from .extract import ASCII, settled, with_ascii
 
 SEP = " | "
+FOLDED = "__folded"
+_X = SparkX(ascii=ASCII)
+
+
+def with_folded(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns and the text, with its case-folded form."""
+    cur = with_ascii(docs.select(*keep, "text"))
+    return settled(cur, [folded(F.col("text"), F.col(ASCII)).alias(FOLDED)])
+
+
+def indexed(docs: DataFrame, patterns, *keep: str) -> tuple[DataFrame, LiteralIndex]:
+    """``keep`` columns and the text, with the bits of the words of all patterns that stand in it, looked up once."""
+    index = LiteralIndex(patterns)
+    cur = settled(with_folded(docs, *keep), index.columns(F.col(FOLDED)))
+    return cur, index
+
+
+def where_standing(index: LiteralIndex, pattern: str, found, none):
+    """``found`` where a word of the pattern stands, else ``none``."""
+    stands = index.stands(pattern)
+    return found if stands is None else F.when(stands, found).otherwise(none)
 
 
 def diag_rules():
@@ -32,13 +55,6 @@ def diag_rules():
     return out
 
 
-def _matches_struct(text, group, no, pattern, shown, ignorecase=True):
-    all_ = F.regexp_extract_all(text, F.lit(rx.java(pattern, ignorecase)), F.lit(1))
-    vis = all_ if shown is None else F.slice(all_, 1, shown)
-    return F.struct(F.lit(group).alias("rule_group"), F.lit(no).alias("rule_no"),
-                    F.size(all_).alias("n_matches"), F.array_join(vis, SEP).alias("matches"))
-
-
 def _matches_sql(group, no, pattern, shown, ignorecase=True):
     all_ = f"regexp_extract_all(text, {q(rx.re2(pattern, ignorecase))}, 1)"
     vis = all_ if shown is None else f"({all_})[1:{shown}]"
@@ -51,10 +67,10 @@ def pattern_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, rule_group, rule_no, n_matches, matches): one row per doc and pattern."""
     T = F.col("text")
     rules = diag_rules()
+    cur, index = indexed(docs, [p for _, _, p, _ in rules], "doc_id")
     # bind each find-all once; the generator below only references columns
-    bound = docs.select("doc_id", *[
-        F.regexp_extract_all(T, F.lit(rx.java(p)), F.lit(1)).alias(f"_m{k}")
-        for k, (g, i, p, s) in enumerate(rules)])
+    bound = cur.select("doc_id", *[
+        where_standing(index, p, _X.rx_all(T, p), _X.empty_array()).alias(f"_m{k}") for k, (g, i, p, s) in enumerate(rules)])
     arr = F.array(*[
         F.struct(F.lit(g).alias("rule_group"), F.lit(i).alias("rule_no"),
                  F.size(f"_m{k}").alias("n_matches"),
@@ -77,8 +93,8 @@ def pattern_coverage(docs: DataFrame) -> DataFrame:
     """
     T = F.col("text")
     rules = diag_rules()
-    counts = docs.select(*[F.regexp_count(T, F.lit(rx.java(p))).alias(f"_n{k}")
-                           for k, (g, i, p, s) in enumerate(rules)])
+    cur, index = indexed(docs, [p for _, _, p, _ in rules])
+    counts = cur.select(*[where_standing(index, p, _X.rx_count(T, p), F.lit(0)).alias(f"_n{k}") for k, (g, i, p, s) in enumerate(rules)])
     agg = counts.agg(*[x for k in range(len(rules)) for x in (
         F.count_if(F.col(f"_n{k}") > 0).alias(f"_h{k}"), F.sum(f"_n{k}").cast("bigint").alias(f"_t{k}"))])
     arr = F.array(*[F.struct(F.lit(g).alias("rule_group"), F.lit(i).alias("rule_no"),
@@ -94,17 +110,23 @@ def pattern_coverage_sql(src: str) -> str:
 
 
 # --- D3 ----------------------------------------------------------------------
+def _pair_of(form: str):
+    return lambda match: F.struct(F.regexp_extract(match, form, 1).alias("street"), F.regexp_extract(match, form, 2).alias("city_state_zip"))
+
+
 def address_pairs(docs: DataFrame) -> DataFrame:
-    """First (street, city-state-zip) pairs of each two-group address pattern."""
+    """First (street, city-state-zip) pairs of each two-group address pattern.
+
+    One find-all of whole matches a pattern; the groups are taken from the few
+    short matches that are shown.
+    """
     T = F.col("text")
+    cur, index = indexed(docs, R.ADDRESS_PAIR_RULES, "doc_id")
     per_rule = []
     for i, p in enumerate(R.ADDRESS_PAIR_RULES, start=1):
-        pat = F.lit(rx.java(p))
-        z = F.arrays_zip(F.regexp_extract_all(T, pat, F.lit(1)).alias("street"),
-                         F.regexp_extract_all(T, pat, F.lit(2)).alias("city_state_zip"))
-        per_rule.append(F.struct(F.lit(i).alias("rule_no"),
-                                 F.slice(z, 1, R.ADDRESS_PAIRS_SHOWN).alias("pairs")))
-    r = docs.select("doc_id", F.inline(F.array(*per_rule)))
+        shown = F.slice(where_standing(index, p, _X.rx_all(T, p, 0), _X.empty_array()), 1, R.ADDRESS_PAIRS_SHOWN)
+        per_rule.append(F.struct(F.lit(i).alias("rule_no"), F.transform(shown, _pair_of(rx.java(p))).alias("pairs")))
+    r = cur.select("doc_id", F.inline(F.array(*per_rule)))
     return r.select("doc_id", "rule_no", F.posexplode("pairs").alias("pos", "pair")).select(
         "doc_id", "rule_no", (F.col("pos") + 1).alias("pair_no"),
         F.col("pair.street").alias("street"), F.col("pair.city_state_zip").alias("city_state_zip"))
@@ -146,9 +168,9 @@ def date_format_census_sql(src: str) -> str:
 def candidate_fields(docs: DataFrame) -> DataFrame:
     """Matches of the not-yet-captured candidate fields, per document."""
     T = F.col("text")
-    bound = docs.select("doc_id", *[
-        F.regexp_extract_all(T, F.lit(rx.java(p)), F.lit(1)).alias(f"_m{k}")
-        for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
+    cur, index = indexed(docs, [p for _, p in R.CANDIDATE_FIELDS], "doc_id")
+    bound = cur.select("doc_id", *[
+        where_standing(index, p, _X.rx_all(T, p), _X.empty_array()).alias(f"_m{k}") for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
     arr = F.array(*[F.struct(F.lit(n).alias("field"), F.size(f"_m{k}").alias("n_matches"),
                              F.array_join(f"_m{k}", SEP).alias("matches"))
                     for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
@@ -167,11 +189,13 @@ def candidate_fields_sql(src: str) -> str:
 # --- D6 ----------------------------------------------------------------------
 def keyword_census(docs: DataFrame) -> DataFrame:
     """Occurrences of each keyword (case-insensitive substring) per document."""
-    T = F.col("text")
+    T = F.col(FOLDED)
+    # in the folded text a keyword in any case is the keyword itself: counted by what its removal takes away
     arr = F.array(*[F.struct(F.lit(k).alias("keyword"),
-                             F.regexp_count(T, F.lit(rx.java(k))).cast("int").alias("occurrences"))
+                             F.when(T.isNull(), F.lit(None)).when(F.contains(T, F.lit(k)), F.floor((F.length(T) - F.length(F.replace(T, F.lit(k), F.lit("")))) / len(k)))
+                             .otherwise(0).cast("int").alias("occurrences"))
                     for k in R.KEYWORDS])
-    return docs.select("doc_id", F.inline(arr))
+    return with_folded(docs, "doc_id").select("doc_id", F.inline(arr))
 
 
 def keyword_census_sql(src: str) -> str:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .functions.dialect import SparkX, SqlX, q
 from .functions import regex as rx
 from .operators import coverage as D
+from .operators import names as N
 from .operators import reports as Rp
 from .operators import route as V
 from .operators.extract import ASCII, parse, parse_sql, settled, staged, with_ascii
@@ -142,6 +143,46 @@ def parse_cloud(spark, sf):
     return _records(spark, sf, CLOUD).select(*ALL_COLS)
 
 
+# names of parties as tables: as registered, and as they stand on the paper; many hold each other ("Customer 1", "Customer 12")
+NAMES_SQL = ("SELECT s_name AS name FROM supplier UNION SELECT 'Supplier ' || CAST(s_suppkey AS VARCHAR) FROM supplier "
+             "UNION SELECT c_name FROM customer UNION SELECT 'Customer ' || CAST(c_custkey AS VARCHAR) FROM customer")
+NAMED_SQL = (f"SELECT doc_id, name, CAST(strpos(text, name) AS INTEGER) AS place FROM ({DOCS}) d, ({NAMES_SQL}) n "
+             "WHERE strpos(text, name) > 0")
+
+
+def _names(spark, sf):
+    s, c = Tb.read_table(spark, sf, "supplier"), Tb.read_table(spark, sf, "customer")
+    each = (s.select(F.col("s_name").alias("name")), s.select(F.concat(F.lit("Supplier "), F.col("s_suppkey").cast("string")).alias("name")),
+            c.select(F.col("c_name").alias("name")), c.select(F.concat(F.lit("Customer "), F.col("c_custkey").cast("string")).alias("name")))
+    return each[0].union(each[1]).union(each[2]).union(each[3]).distinct()
+
+
+@query("names_in_documents", NAMED_SQL)
+def names_in_documents(spark, sf):
+    """Where each supplier's and customer's name stands in each document."""
+    return N.find_names(_docs(spark, sf), _names(spark, sf))
+
+
+@query("names_in_documents_joined", NAMED_SQL)
+def names_in_documents_joined(spark, sf):
+    """The same by the way of lists too long for an automaton."""
+    return N.by_join(_docs(spark, sf), _names(spark, sf))
+
+
+_SITE_A = [SqlX().rx("text", R.SITE_ADDRESS, g) for g in (1, 2)]
+
+
+@query("parse_listed_sites",
+       f"SELECT d.doc_id, s.site_id, s.name AS shipper_name, CASE WHEN {_SITE_A[0]} <> '' THEN "
+       f"{SqlX().strip(_SITE_A[0])} || ', ' || {SqlX().strip(_SITE_A[1])} END AS shipper_address FROM ({DOCS}) d JOIN ("
+       f"SELECT n.doc_id, min(p.s_suppkey) AS site_id FROM ({DOCS}) n, supplier p WHERE strpos(n.text, p.s_name) > 0 GROUP BY n.doc_id) f "
+       f"ON d.doc_id = f.doc_id JOIN (SELECT s_suppkey AS site_id, s_name AS name FROM supplier) s ON s.site_id = f.site_id")
+def parse_listed_sites(spark, sf):
+    """The shipper of documents that name a site of a table of sites."""
+    sites = Tb.read_table(spark, sf, "supplier").select(F.col("s_suppkey").alias("site_id"), F.col("s_name").alias("name"))
+    return N.site_parties(_docs(spark, sf), sites)
+
+
 def _diff_count(d, a_prefix, b_prefix):
     return d.add(*[d.to_int(d.not_(f"({a_prefix}{f} IS NOT DISTINCT FROM {b_prefix}{f})"))
                    if d.name == "duckdb" else
@@ -199,9 +240,14 @@ def _catalog_hit(d, row, text):
 def rule_catalog(spark, sf):
     """Every rule of both rule sets with the number of documents it matches."""
     rows = _catalog()
-    docs = _docs(spark, sf)
-    hits = docs.agg(*[F.count_if(_catalog_hit(_sx, r, F.col("text"))).alias(f"h{i}")
-                      for i, r in enumerate(rows)])
+    patterns = [r[3] for r in rows if not r[4].startswith("contains:")]
+    cur, index = D.indexed(_docs(spark, sf), patterns)
+    # a pattern of several rules and rule sets is tried once a text, and only where a word of it stands
+    test = {p: D.where_standing(index, p, D._X.rx_test(F.col("text"), p), F.lit(False)) for p in patterns}
+    names = {p: f"_t{i}" for i, p in enumerate(test)}
+    cur = settled(cur, [t.alias(names[p]) for p, t in test.items()])
+    hits = cur.agg(*[F.count_if(F.col(names[r[3]]) if r[3] in names else _catalog_hit(_sx, r, F.col("text"))).alias(f"h{i}")
+                     for i, r in enumerate(rows)])
     arr = F.array(*[F.struct(F.lit(r[0]).alias("rule_set"), F.lit(r[1]).alias("field"),
                              F.lit(r[2]).alias("priority"), F.lit(r[3]).alias("pattern"),
                              F.lit(r[4]).alias("stop_rule"), F.col(f"h{i}").alias("docs_hit"))
