@@ -17,7 +17,7 @@ from ..functions.literals import LiteralIndex, folded
 from ..plans import rules as R
 from ..plans.extract import build
 from ..plans.rules import FIELDS, LOCAL, RuleSet
-from .extract import ASCII, settled, with_ascii
+from .extract import ASCII, settled, staged, with_ascii
 
 SEP = " | "
 FOLDED = "__folded"
@@ -253,14 +253,14 @@ def field_fill_sql(records_sql: str) -> str:
 # --- D10 ---------------------------------------------------------------------
 def rule_attribution(docs: DataFrame, rules: RuleSet = LOCAL) -> DataFrame:
     """Per field and rule index: how many documents got their value from it
-    (index 0 = the fixed site rule, NULL = no rule produced a value)."""
-    d = SparkX()
-    plan = build(d, rules, "text", lazy=False)
-    cur = docs.select("doc_id", "text")
-    for stage in plan.stages:
-        cur = cur.select("*", *[e.alias(a) for a, e in stage])
+    (index 0 = the fixed site rule, NULL = no rule produced a value).
+
+    The cascades run as in the extraction, each rule only where none before it
+    decided; the columns of their steps tell which one did."""
+    plan = build(_X, rules, "text", attribute=True)
+    cur = staged(with_ascii(docs.select("doc_id", "text")), plan)
     names = list(plan.attribution)
-    cur = cur.select(*[e.cast("int").alias(f"_a{k}") for k, e in enumerate(plan.attribution.values())])
+    cur = settled(cur, [e.cast("int").alias(f"_a{k}") for k, e in enumerate(plan.attribution.values())])
     arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_a{k}").alias("rule_no"))
                     for k, f in enumerate(names)])
     return cur.select(F.inline(arr)).groupBy("field", "rule_no").agg(

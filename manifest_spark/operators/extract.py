@@ -11,27 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dialect import SparkX, SqlX
+from ..functions.stages import settled
 from ..plans import extract as plan_mod
 from ..plans.rules import FIELDS, LOCAL, RuleSet
 
 RECORD_COLUMNS = FIELDS + ("raw_text", "extracted_fields")
-#: Columns that one generator makes, so that its compiled method stays small.
-GROUP = 3
 ASCII = "__ascii"
 
 
-def settled(df: DataFrame, columns: list) -> DataFrame:
-    """``df`` with ``columns``, each passed through a one-row generator.
-
-    Catalyst neither pushes later filters on them below a generator nor merges
-    later projections into it, both of which would evaluate rules again and
-    again.  Nothing is stored.
-    """
-    for i in range(0, len(columns), GROUP):
-        df = df.select("*", F.inline(F.array(F.struct(*columns[i:i + GROUP]))))
-    return df
-
-
 def with_ascii(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with a column that tells whether ``text`` is ASCII."""
     return settled(df, [(F.length(text) == F.octet_length(text)).alias(ASCII)])

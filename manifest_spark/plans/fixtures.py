@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import SparkX, SqlX
+from ..functions.stages import settled
 from ..sources.tables import read_table
 from .rules import CLOUD_CITY_CONTAINS, FIXED_CITY_RULES, SITE_NAME
 
 ORIGIN, DESTINATION = (value for _, _, value in FIXED_CITY_RULES)
 
 
-def _text(d) -> object:
+def _variants(d) -> list:
+    """(condition, text) of the eight shapes."""
     c = d.col
     K = d.to_str(c("o_orderkey"))
     L = d.lpad(K, 8, "0")
@@ -124,7 +126,7 @@ def _text(d) -> object:
         d.concat(D1, lit(" 10:15")),
         d.concat(WC, lit(" lbs")))
     v = d.mod(c("o_orderkey"), 8)
-    return d.when([(d.eq(v, lit(i)), t) for i, t in enumerate((v0, v1, v2, v3, v4, v5, v6, v7))])
+    return [(d.eq(v, lit(i)), t) for i, t in enumerate((v0, v1, v2, v3, v4, v5, v6, v7))]
 
 
 def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,12 +147,14 @@ def document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the narrow rows are dealt evenly before the costly text work; sizes and numbers are adaptive execution's choice
     base = base.hint("rebalance")
     d = SparkX()
+    # a compiled method for each shape: one for all would be too large for HotSpot to compile
+    base = settled(base, [F.when(is_, text).alias(f"_shape{i}") for i, (is_, text) in enumerate(_variants(d))], 1)
     return base.select(
         F.col("o_orderkey").alias("doc_id"),
         F.concat(F.lit("user"), F.col("o_custkey").cast("string"), F.lit("@example.com")).alias("email_from"),
         F.concat(F.lit("Load "), F.col("o_orderkey").cast("string")).alias("email_subject"),
         F.concat(F.lit("doc_"), F.col("o_orderkey").cast("string"), F.lit(".pdf")).alias("attachment_name"),
-        _text(d).alias("text"))
+        F.coalesce(*[f"_shape{i}" for i in range(8)]).alias("text"))
 
 
 def document_text_sql() -> str:
@@ -161,7 +165,7 @@ def document_text_sql() -> str:
            'user' || CAST(o_custkey AS VARCHAR) || '@example.com' AS email_from,
            'Load ' || CAST(o_orderkey AS VARCHAR) AS email_subject,
            'doc_' || CAST(o_orderkey AS VARCHAR) || '.pdf' AS attachment_name,
-           {_text(d)} AS text
+           {d.when(_variants(d))} AS text
     FROM (
       SELECT o.*, li.*, s.*, c.*, n.*, p.*,
              CAST(round(o.o_totalprice) AS BIGINT) AS freight

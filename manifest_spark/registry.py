@@ -201,11 +201,12 @@ def parse_all_documents(spark, sf):
        "SELECT l.doc_id, " + _diff_count(_qx, "l.", "c.") + " AS n_diff FROM (" + RECORDS
        + ") l JOIN (" + parse_sql(DOCS, CLOUD) + ") c ON l.doc_id = c.doc_id")
 def rule_set_diff(spark, sf):
-    """Both rule sets evaluated in one projection (no join, no shuffle)."""
+    """Both rule sets over one pass: steps and patterns that both have are evaluated once (no join, no shuffle)."""
     from .plans import extract as pe
     cur = with_ascii(_docs(spark, sf).select("doc_id", "text"))
+    shared = pe.Shared(LOCAL, CLOUD)
     for rules, prefix in ((LOCAL, "l_"), (CLOUD, "c_")):
-        plan = pe.build(SparkX(ascii=ASCII), rules, "text", prefix)
+        plan = pe.build(SparkX(ascii=ASCII), rules, "text", prefix, shared=shared)
         cur = settled(staged(cur, plan), [e.alias(a) for a, e in plan.final])
     return cur.select("doc_id", _diff_count(_sx, "l_", "c_").alias("n_diff"))
 
