@@ -1,7 +1,9 @@
 """Filter interaction audit: what each of five filters removes in every order, by an incremental stream with retraction.
 
 All files of a table run through an available-now stream in a few micro-batches.
-The state of a text holds its smallest id so far; when a smaller one arrives,
+The state keyed by text holds each one's smallest id so far, for a bounded number
+of texts together, as one Python call a text would cost more than all the rest
+(milliseconds); when a smaller id arrives,
 the mask that the earlier document was counted with is taken back from its
 part's counter and the mask with "copy of another" is counted instead.  A
 report over all 120 orders of the filters needs the counters only.
@@ -9,9 +11,9 @@ report over all 120 orders of the filters needs the counters only.
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
-from collections import Counter
 from contextlib import contextmanager
 from itertools import permutations
 from math import factorial
@@ -20,19 +22,22 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from .common import shared_dir, written
 
 FILTERS = "ABCDE"
 #: Micro-batches that a table's files are dealt to.
 BATCHES = 4
+#: Texts that share a state, which a Python call reads and writes as a whole (about 100 bytes a text).
+TEXTS = 2048
 #: Entries that a task gathers before it hands partial counts on.
 HELD = 100_000
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _COPY = 1 << FILTERS.index("E")
 COUNTS = "part string, mask int, flags int, n long"
-STATE = "least long, parts array<string>, flags array<int>, counts array<long>"
+STATE = "held binary"
 
 
 def masks(text) -> F.Column:
@@ -75,39 +80,48 @@ def partials(batches):
         yield batch(held)
 
 
-def retract(key, frames, state):
-    """Changes (part, mask, flags, n) of the counters by a text's new rows.
+def _packed(held: pd.DataFrame) -> bytes:
+    sink = io.BytesIO()
+    batch = pa.RecordBatch.from_pandas(held, preserve_index=False)
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue()
 
-    Rows with the text's smallest id do not fail E, all others do; rows without
-    an id have no smaller one and are smaller than none.  The state keeps which
-    counters the rows with the smallest id stand in.
+
+_HELD = ["key", "least", "part", "flags", "n"]
+
+
+def retract(bucket, frames, state):
+    """Changes (part, mask, flags, n) of the counters by new rows of a bucket of texts.
+
+    The state holds for each text its smallest id, and the counters in which
+    the rows with that id stand (one, unless an id is repeated).  Rows with a
+    text's smallest id do not fail E, all others do.  When a smaller id comes,
+    the earlier rows move from their mask to the mask with E.  Rows without an
+    id have no smaller one and are smaller than none.
     """
-    least, held = None, Counter()
-    if state.exists:
-        least, parts, flags, counts = state.get
-        held = Counter({(p, f): n for p, f, n in zip(parts, flags, counts)})
-    change, seen = Counter(), least
-    for frame in frames:
-        for part, flag, mask, low, n_low, n, n_null in zip(*(frame[c].tolist() for c in ("part", "flags", "mask", "least", "n_least", "n", "n_null"))):
-            change[part, mask, flag] += n_null
-            if not n:
-                continue
-            low = int(low)
-            if least is None or low < least:
-                for (p, f), c in held.items():
-                    change[p, mask, f] -= c
-                    change[p, mask | _COPY, f] += c
-                least, held = low, Counter()
-            own = n_low if low == least else 0
-            if own:
-                held[part, flag] += own
-                change[part, mask, flag] += own
-            change[part, mask | _COPY, flag] += n - own
-    if least is not None and (least != seen or held):
-        state.update((least, [p for p, _ in held], [f for _, f in held], list(held.values())))
-    rows = [(*k, n) for k, n in change.items() if n]
-    if rows:
-        yield pd.DataFrame(rows, columns=["part", "mask", "flags", "n"])
+    new = pd.concat(list(frames), ignore_index=True)
+    held = (pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists
+            else pd.DataFrame({"key": pd.Series(dtype=object), "least": pd.Series(dtype="int64"), "part": pd.Series(dtype=object),
+                               "flags": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")}))
+    nameless = new[new.n_null > 0]
+    new = new[new.n > 0].astype({"least": "int64"})
+    low = new.groupby("key").least.min()
+    if len(held):
+        low = pd.concat([low, held[held.key.isin(low.index)].groupby("key").least.first()]).groupby(level=0).min()
+    own = new.n_least.where(new.least.to_numpy() == new.key.map(low).to_numpy(), 0)
+    now_low = held.key.map(low)  # only texts with new rows
+    lost = held[now_low.notna() & (now_low < held.least)]
+    mask = new.groupby("key")["mask"].first()  # a text's own filters are those of every row of it
+    lost = lost.assign(mask=lost.key.map(mask))
+    change = pd.concat([
+        nameless.assign(n=nameless.n_null), new.assign(n=own), new.assign(mask=new["mask"] | _COPY, n=new.n - own),
+        lost.assign(n=-lost.n), lost.assign(mask=lost["mask"].astype("int64") | _COPY)])[["part", "mask", "flags", "n"]]
+    change = change.astype({"mask": "int32", "flags": "int32", "n": "int64"}).groupby(["part", "mask", "flags"], as_index=False).n.sum()
+    firsts = new.assign(n=own)[own > 0]
+    held = pd.concat([held.drop(lost.index), firsts[_HELD]]).astype({"least": "int64", "flags": "int64", "n": "int64"})
+    state.update((_packed(held.groupby(["key", "least", "part", "flags"], as_index=False, sort=False).n.sum()),))
+    yield change[change.n != 0]
 
 
 def label_flags(labels: DataFrame) -> DataFrame:
@@ -131,30 +145,46 @@ def settings(spark: SparkSession, **values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def counters(spark: SparkSession, path: str, labels: DataFrame, place: str | None = None, batches: int = BATCHES) -> DataFrame:
+def _buckets(spark: SparkSession, place: str, table: DataFrame, texts: int) -> int:
+    """The number of states, fixed by the first run and kept in ``place``."""
+    path = os.path.join(place, "start")
+    try:
+        return spark.read.schema("buckets long").parquet(path).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    n = max(1, -(-table.count() // texts))  # rows by the files' footers
+    spark.createDataFrame([], COUNTS).write.mode("overwrite").parquet(os.path.join(place, "counts", "none"))
+    spark.createDataFrame([(n,)], "buckets long").write.mode("overwrite").parquet(path)
+    return n
+
+
+def counters(spark: SparkSession, path: str, labels: DataFrame, place: str | None = None, batches: int = BATCHES, texts: int = TEXTS) -> DataFrame:
     """(part, mask, flags, n): documents of the table at ``path`` by source, failed filters and labels.
 
     ``path`` names a Parquet file or a folder of such.  ``place`` is a shared
     folder for state, progress and counts; a run that ended early goes on from
     there, and a repeated micro-batch writes its changes over again, not twice.
+    Files that have come since are added; states are as many as ``texts`` rows
+    each of the first run's table need.
     """
     place = place or os.path.join(shared_dir(spark), f"filter-audit-{uuid.uuid4().hex}")
     table = spark.read.parquet(path)
     files = len(table.inputFiles())
+    out = os.path.join(place, "counts")
+    buckets = _buckets(spark, place, table, texts)
     src = (spark.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(path + "*"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = src.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
-                      F.unhex(F.sha2(text, 256)).alias("key"), masks(text).alias("mask"),
+                      F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("key"), masks(text).alias("mask"),
                       # rows without an id find no label; dealt by text, so that they do not gather in one task
                       F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64(text), F.lit(1024))).otherwise(F.lit(0)).alias("deal"))
     known = written(label_flags(labels), "label-flags").withColumn("deal", F.lit(0).cast("long"))
     flagged = docs.join(known, ["doc_id", "deal"], "left").select(
         "key", "part", F.coalesce("flags", F.lit(0)).cast("int").alias("flags"), "mask", "doc_id")
     few = flagged.mapInArrow(partials, "key binary, part string, flags int, mask int, least long, n_least long, n long, n_null long")
-    changes = few.groupBy("key").applyInPandasWithState(retract, COUNTS, STATE, "update", "NoTimeout")
-
-    out = os.path.join(place, "counts")
-    spark.createDataFrame([], COUNTS).write.mode("overwrite").parquet(os.path.join(out, "start"))
+    few = few.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    changes = few.groupBy("bucket").applyInPandasWithState(retract, COUNTS, STATE, "update", "NoTimeout")
 
     def keep(batch: DataFrame, number: int) -> None:
         total = batch.groupBy("part", "mask", "flags").agg(F.sum("n").alias("n"))
@@ -204,7 +234,8 @@ def audit(spark: SparkSession, path: str, labels: DataFrame, place: str | None =
     """The report over the table at ``path`` with columns doc_id, text and source; others are not read.
 
     Null texts are empty ones and so are null sources (part ''); an empty table
-    has no parts and no rows.  Texts are equal if their SHA-256 values are.
+    has no parts and no rows.  Texts are equal if the first 128 bits of their SHA-256
+    values are.
     Rows that repeat a text's smallest id do not fail E, as no id is smaller;
     rows without an id never do and have no label.  Order of arrival, ties and
     the cut into micro-batches do not change the result.
