@@ -304,7 +304,8 @@ def _tokens(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, k: int) -> Data
     if needed.count() <= FETCH:  # four numbers each; more are fetched by a shuffled join
         needed = F.broadcast(needed)
     rows = _read(docs).join(needed, "fetch").select("node", "s1", "s2", "text")
-    return written(rows.mapInArrow(run, "node long, tokens binary"), "tokens").dropDuplicates(["node"])
+    # one row a node, and written, so that a join on a node that many others meet can be split
+    return written(rows.mapInArrow(run, "node long, tokens binary").dropDuplicates(["node"]), "tokens")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
