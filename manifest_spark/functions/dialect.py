@@ -19,12 +19,15 @@ _WS = r"[\s\x1c-\x1f]"
 
 
 class SparkX:
-    """Expression builder producing Spark Columns; ``ascii`` names a column that tells whether the text is ASCII."""
+    """Expression builder producing Spark Columns; ``ascii`` names a column that tells whether the text is ASCII.
+
+    ``index`` is a literal index whose columns stand beside the text.
+    """
 
     name = "spark"
 
-    def __init__(self, ascii: str | None = None):
-        self.ascii = ascii
+    def __init__(self, ascii: str | None = None, index=None):
+        self.ascii, self.index = ascii, index
 
     # -- basics -----------------------------------------------------------
     def col(self, name: str) -> Column:
@@ -148,11 +151,20 @@ class SparkX:
             return self._by_text(form, lambda f: F.array_join(F.regexp_extract_all(text, F.lit(f), F.lit(1)), ""))
         return self._by_text(form, lambda f: F.regexp_extract(text, f, group))
 
+    def _where_standing(self, text, pattern: str, found, none):
+        """``found``, tried only where words stand that each match must hold: by the index, else by the rule's own guard."""
+        stands = self.index.stands(pattern) if self.index is not None and pattern in self.index.words else None
+        if stands is None:
+            guard = RULE_GUARDS.get(pattern)
+            stands = None if guard is None else self.rx_test(text, guard)
+        return found if stands is None else F.when(stands, found).otherwise(none)
+
     def rx_guarded(self, text, pattern: str, group: int = 1):
-        """As ``rx``; a rule with a word that each match must hold is tried only where that word stands."""
-        guard = RULE_GUARDS.get(pattern)
-        found = self.rx(text, pattern, group)
-        return found if guard is None else F.when(self.rx_test(text, guard), found).otherwise("")
+        """As ``rx``; a rule with words that each match must hold is tried only where they stand."""
+        return self._where_standing(text, pattern, self.rx(text, pattern, group), F.lit(""))
+
+    def rx_all_guarded(self, text, pattern: str, group: int = 1):
+        return self._where_standing(text, pattern, self.rx_all(text, pattern, group), self.empty_array())
 
     def rx_all(self, text, pattern: str, group: int = 1, ignorecase=True):
         found = self._by_text(rx.java(pattern, ignorecase), lambda f: F.regexp_extract_all(text, F.lit(f), F.lit(group)))
@@ -164,6 +176,12 @@ class SparkX:
             return F.size(self.rx_all(text, pattern, 1, ignorecase))
         return self._by_text(rx.java(pattern, ignorecase), lambda f: F.regexp_count(text, F.lit(f)))
 
+    def rx_count_guarded(self, text, pattern: str):
+        return self._where_standing(text, pattern, self.rx_count(text, pattern), F.lit(0))
+
+    def rx_test_guarded(self, text, pattern: str):
+        return self._where_standing(text, pattern, self.rx_test(text, pattern), F.lit(False))
+
     def rx_test(self, text, pattern: str, ignorecase=True):
         if rx.block_parts(pattern) or rx.seek_parts(pattern):
             return self.rx(text, pattern, 1, ignorecase) != ""
@@ -339,6 +357,9 @@ class SqlX:
     def rx_guarded(self, text, pattern, group=1):
         return self.rx(text, pattern, group)
 
+    def rx_all_guarded(self, text, pattern, group=1):
+        return self.rx_all(text, pattern, group)
+
     def rx_all(self, text, pattern, group=1, ignorecase=True):
         return f"regexp_extract_all({text}, {q(rx.re2(pattern, ignorecase))}, {group})"
 

@@ -1,10 +1,11 @@
 """Literal index of a rule set: words without which a rule cannot match, looked up once per text.
 
-Each rule's pattern is taken apart into the words that any match must hold.
+Each rule's pattern is taken apart into sets of words, of each of which any match
+must hold one.
 The words of all rules are looked up in the case-folded text by plain
 substring search, which costs a fraction of a regex scan, and kept as the bits
-of a few numbers.  A rule then runs only on texts in which one of its words
-stands.  The result is the same as without the index, for any rule set.
+of a few numbers.  A rule then runs only on texts in which its words
+stand.  The result is the same as without the index, for any rule set.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from re import _constants as op, _parser
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words of an index that one number tells.
-BITS = 60
+#: Words of an index that one number tells (so few that the method that looks them up stays small).
+BITS = 30
 #: Fewer signs do not make a word worth a look.
 LEAST = 2
 # signs that fold to an ASCII letter where case is ignored, besides A-Z
@@ -76,16 +77,20 @@ def _choices(seq) -> list[frozenset]:
     return out
 
 
+def _tells(word: str) -> bool:
+    return len(word) >= LEAST and any(c.isalpha() for c in word)
+
+
 def needed_of(seq) -> frozenset | None:
     """The set of words that tells most: its shortest word is longest; of equals, the one with fewer words."""
-    good = [c for c in _choices(seq) if all(len(w) >= LEAST and any(ch.isalpha() for ch in w) for w in c)]
+    good = [c for c in _choices(seq) if all(_tells(w) for w in c)]
     return max(good, key=lambda c: (min(map(len, c)), -len(c)), default=None)
 
 
-def needed(pattern: str) -> frozenset | None:
-    """Folded words of which one stands in every text that ``pattern`` (Python syntax, case ignored) matches; None if no word must."""
-    found = needed_of(_parser.parse(pattern))
-    return None if found is None else frozenset(map(_fold, found))
+def needed(pattern: str) -> list[frozenset]:
+    """Sets of folded words: one word of each stands in every text that ``pattern`` (Python syntax, case ignored) matches."""
+    found = [c for c in _choices(_parser.parse(pattern)) if all(_tells(w) for w in c)]
+    return list(dict.fromkeys(frozenset(map(_fold, c)) for c in found))
 
 
 class LiteralIndex:
@@ -93,7 +98,7 @@ class LiteralIndex:
 
     def __init__(self, patterns, prefix: str = "__words"):
         self.words = {p: needed(p) for p in dict.fromkeys(patterns)}
-        self.place = {w: i for i, w in enumerate(sorted(set().union(*[s for s in self.words.values() if s])))}
+        self.place = {w: i for i, w in enumerate(sorted({w for sets in self.words.values() for each in sets for w in each}))}
         self.prefix = prefix
 
     def columns(self, text: Column) -> list[Column]:
@@ -104,16 +109,16 @@ class LiteralIndex:
                 for at in range(0, len(names), BITS)]
 
     def stands(self, pattern: str) -> Column | None:
-        """Whether one of the pattern's words stands in the text; None for a pattern that must be tried on all."""
-        words = self.words[pattern]
-        if not words:
-            return None
-        masks: dict[int, int] = {}
-        for w in words:
-            at, bit = divmod(self.place[w], BITS)
-            masks[at] = masks.get(at, 0) | 1 << bit
-        conds = [F.col(f"{self.prefix}{at}").bitwiseAND(F.lit(m).cast("long")) != 0 for at, m in masks.items()]
-        out = conds[0]
-        for c in conds[1:]:
-            out = out | c
+        """Whether of each of the pattern's sets of words one stands in the text; None for a pattern that must be tried on all."""
+        out = None
+        for words in self.words[pattern]:
+            masks: dict[int, int] = {}
+            for w in words:
+                at, bit = divmod(self.place[w], BITS)
+                masks[at] = masks.get(at, 0) | 1 << bit
+            one = None
+            for at, m in masks.items():
+                c = F.col(f"{self.prefix}{at}").bitwiseAND(F.lit(m).cast("long")) != 0
+                one = c if one is None else one | c
+            out = one if out is None else out & one
         return out

@@ -12,16 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import regex as rx
-from ..functions.dialect import SparkX, q
-from ..functions.literals import LiteralIndex, folded
+from ..functions.dialect import q
+from ..functions.literals import folded
 from ..plans import rules as R
-from ..plans.extract import build
+from ..plans.extract import build, steps
 from ..plans.rules import FIELDS, LOCAL, RuleSet
-from .extract import ASCII, settled, staged, with_ascii
+from .extract import ASCII, FOLDED, settled, staged, with_ascii, with_words
 
 SEP = " | "
-FOLDED = "__folded"
-_X = SparkX(ascii=ASCII)
 
 
 def with_folded(docs: DataFrame, *keep: str) -> DataFrame:
@@ -30,19 +28,6 @@ def with_folded(docs: DataFrame, *keep: str) -> DataFrame:
     return settled(cur, [folded(F.col("text"), F.col(ASCII)).alias(FOLDED)])
 
 
-def indexed(docs: DataFrame, patterns, *keep: str) -> tuple[DataFrame, LiteralIndex]:
-    """``keep`` columns and the text, with the bits of the words of all patterns that stand in it, looked up once."""
-    index = LiteralIndex(patterns)
-    cur = settled(with_folded(docs, *keep), index.columns(F.col(FOLDED)))
-    return cur, index
-
-
-def where_standing(index: LiteralIndex, pattern: str, found, none):
-    """``found`` where a word of the pattern stands, else ``none``."""
-    stands = index.stands(pattern)
-    return found if stands is None else F.when(stands, found).otherwise(none)
-
-
 def diag_rules():
     """(rule_group, rule_no, pattern, shown) of the per-pattern match dump."""
     out = []
@@ -67,10 +52,9 @@ def pattern_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, rule_group, rule_no, n_matches, matches): one row per doc and pattern."""
     T = F.col("text")
     rules = diag_rules()
-    cur, index = indexed(docs, [p for _, _, p, _ in rules], "doc_id")
+    cur, d = with_words(docs.select("doc_id", "text"), [p for _, _, p, _ in rules])
     # bind each find-all once; the generator below only references columns
-    bound = cur.select("doc_id", *[
-        where_standing(index, p, _X.rx_all(T, p), _X.empty_array()).alias(f"_m{k}") for k, (g, i, p, s) in enumerate(rules)])
+    bound = cur.select("doc_id", *[d.rx_all_guarded(T, p).alias(f"_m{k}") for k, (g, i, p, s) in enumerate(rules)])
     arr = F.array(*[
         F.struct(F.lit(g).alias("rule_group"), F.lit(i).alias("rule_no"),
                  F.size(f"_m{k}").alias("n_matches"),
@@ -93,8 +77,8 @@ def pattern_coverage(docs: DataFrame) -> DataFrame:
     """
     T = F.col("text")
     rules = diag_rules()
-    cur, index = indexed(docs, [p for _, _, p, _ in rules])
-    counts = cur.select(*[where_standing(index, p, _X.rx_count(T, p), F.lit(0)).alias(f"_n{k}") for k, (g, i, p, s) in enumerate(rules)])
+    cur, d = with_words(docs.select("text"), [p for _, _, p, _ in rules])
+    counts = settled(cur, [d.rx_count_guarded(T, p).alias(f"_n{k}") for k, (g, i, p, s) in enumerate(rules)])
     agg = counts.agg(*[x for k in range(len(rules)) for x in (
         F.count_if(F.col(f"_n{k}") > 0).alias(f"_h{k}"), F.sum(f"_n{k}").cast("bigint").alias(f"_t{k}"))])
     arr = F.array(*[F.struct(F.lit(g).alias("rule_group"), F.lit(i).alias("rule_no"),
@@ -121,10 +105,10 @@ def address_pairs(docs: DataFrame) -> DataFrame:
     short matches that are shown.
     """
     T = F.col("text")
-    cur, index = indexed(docs, R.ADDRESS_PAIR_RULES, "doc_id")
+    cur, d = with_words(docs.select("doc_id", "text"), R.ADDRESS_PAIR_RULES)
     per_rule = []
     for i, p in enumerate(R.ADDRESS_PAIR_RULES, start=1):
-        shown = F.slice(where_standing(index, p, _X.rx_all(T, p, 0), _X.empty_array()), 1, R.ADDRESS_PAIRS_SHOWN)
+        shown = F.slice(d.rx_all_guarded(T, p, 0), 1, R.ADDRESS_PAIRS_SHOWN)
         per_rule.append(F.struct(F.lit(i).alias("rule_no"), F.transform(shown, _pair_of(rx.java(p))).alias("pairs")))
     r = cur.select("doc_id", F.inline(F.array(*per_rule)))
     return r.select("doc_id", "rule_no", F.posexplode("pairs").alias("pos", "pair")).select(
@@ -168,9 +152,8 @@ def date_format_census_sql(src: str) -> str:
 def candidate_fields(docs: DataFrame) -> DataFrame:
     """Matches of the not-yet-captured candidate fields, per document."""
     T = F.col("text")
-    cur, index = indexed(docs, [p for _, p in R.CANDIDATE_FIELDS], "doc_id")
-    bound = cur.select("doc_id", *[
-        where_standing(index, p, _X.rx_all(T, p), _X.empty_array()).alias(f"_m{k}") for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
+    cur, d = with_words(docs.select("doc_id", "text"), [p for _, p in R.CANDIDATE_FIELDS])
+    bound = cur.select("doc_id", *[d.rx_all_guarded(T, p).alias(f"_m{k}") for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
     arr = F.array(*[F.struct(F.lit(n).alias("field"), F.size(f"_m{k}").alias("n_matches"),
                              F.array_join(f"_m{k}", SEP).alias("matches"))
                     for k, (n, p) in enumerate(R.CANDIDATE_FIELDS)])
@@ -257,8 +240,9 @@ def rule_attribution(docs: DataFrame, rules: RuleSet = LOCAL) -> DataFrame:
 
     The cascades run as in the extraction, each rule only where none before it
     decided; the columns of their steps tell which one did."""
-    plan = build(_X, rules, "text", attribute=True)
-    cur = staged(with_ascii(docs.select("doc_id", "text")), plan)
+    cur, d = with_words(docs.select("doc_id", "text"), [p for _, p in steps(rules)])
+    plan = build(d, rules, "text", attribute=True)
+    cur = staged(cur, plan)
     names = list(plan.attribution)
     cur = settled(cur, [e.cast("int").alias(f"_a{k}") for k, e in enumerate(plan.attribution.values())])
     arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_a{k}").alias("rule_no"))

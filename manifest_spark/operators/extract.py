@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dialect import SparkX, SqlX
+from ..functions.literals import LiteralIndex, folded
 from ..functions.stages import settled
 from ..plans import extract as plan_mod
 from ..plans.rules import FIELDS, LOCAL, RuleSet
 
 RECORD_COLUMNS = FIELDS + ("raw_text", "extracted_fields")
-ASCII = "__ascii"
+ASCII, FOLDED = "__ascii", "__folded"
 
 
 def with_ascii(df: DataFrame, text: str = "text") -> DataFrame:
@@ -24,6 +25,13 @@ def with_ascii(df: DataFrame, text: str = "text") -> DataFrame:
     return settled(df, [(F.length(text) == F.octet_length(text)).alias(ASCII)])
 
 
+def with_words(df: DataFrame, patterns, text: str = "text") -> tuple[DataFrame, SparkX]:
+    """``df`` with the bits of the words of all ``patterns`` that stand in ``text``, and the expression builder that uses them."""
+    index = LiteralIndex(patterns)
+    cur = settled(with_ascii(df, text), [folded(F.col(text), F.col(ASCII)).alias(FOLDED)])
+    return settled(cur, index.columns(F.col(FOLDED)), 1), SparkX(ascii=ASCII, index=index)
+
+
 def staged(df: DataFrame, plan) -> DataFrame:
     """The plan's stages, each in generators of its own: a projection would be compiled into its neighbours' method."""
     for stage in plan.stages:
@@ -57,11 +65,12 @@ def parse(df: DataFrame, rules: RuleSet = LOCAL, text: str = "text",
     ``extracted_fields``; ``extra`` names intermediate columns to keep (without
     their leading line).
     """
-    d = SparkX(ascii=ASCII)
-    plan = plan_mod.build(d, only(rules, fields), text, lazy=lazy)
     keep = [c for c in df.columns if c != text] if keep is None else list(keep)
+    rules_of = only(rules, fields)
+    cur, d = with_words(df.select(*keep, text), [p for _, p in plan_mod.steps(rules_of)], text)
+    plan = plan_mod.build(d, rules_of, text, lazy=lazy)
     final = dict(plan.final)
-    cur = staged(with_ascii(df.select(*keep, text), text), plan)
+    cur = staged(cur, plan)
     more = [x.lstrip("_") for x in extra]
     cur = settled(cur, [final[f].alias(f) for f in fields] + [F.col(x).alias(y) for x, y in zip(extra, more)])
     cur = cur.select(*keep, *more, *fields, F.substring(text, 1, rules.raw_text_chars).alias("raw_text"))

@@ -195,7 +195,7 @@ def build(d, rs: RuleSet, text: str = "text", prefix: str = "", lazy: bool = Tru
     pv = first_valid("pc", "pieces", lambda c: d.when([(d.and_(
         d.gt(d.try_long(c), d.lit(PIECES_MIN_EXCLUSIVE)), d.lt(d.try_long(c), d.lit(PIECES_MAX_EXCLUSIVE))), d.try_long(c))]))
     fv = first_valid("fr", "freight", num)
-    by_rule = [once(("dates", p), lambda i=i, p=p: bind(0, f"_dates{i}", d.rx_all(T, p, 1))) for i, p in enumerate(rs.dates)]
+    by_rule = [once(("dates", p), lambda i=i, p=p: bind(0, f"_dates{i}", d.rx_all_guarded(T, p, 1))) for i, p in enumerate(rs.dates)]
     dates = bind(1, "_dates", d.concat_arrays(*by_rule) if by_rule else d.empty_array())
     cfix = [once(("city", p), lambda i=i, p=p: bind(0, f"_cfix{i}", capture(p))) for i, (p, _, _) in enumerate(rs.fixed_cities)]
     if rs.general_city:

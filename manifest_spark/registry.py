@@ -20,12 +20,13 @@ from .operators import coverage as D
 from .operators import names as N
 from .operators import reports as Rp
 from .operators import route as V
-from .operators.extract import ASCII, parse, parse_sql, settled, staged, with_ascii
+from .operators.extract import parse, parse_sql, settled, staged, with_words
 from .plans import rules as R
 from .plans.fixtures import document_text, document_text_sql
 from .plans.rules import CLOUD, FIELDS, LOCAL, catalog_rows
 from .session import ensure_checkpoint_dir
 from .sources import ingest as S
+from .sources import loads as Ld
 from .sources import tables as Tb
 
 DOCS = document_text_sql()
@@ -203,10 +204,10 @@ def parse_all_documents(spark, sf):
 def rule_set_diff(spark, sf):
     """Both rule sets over one pass: steps and patterns that both have are evaluated once (no join, no shuffle)."""
     from .plans import extract as pe
-    cur = with_ascii(_docs(spark, sf).select("doc_id", "text"))
+    cur, d = with_words(_docs(spark, sf).select("doc_id", "text"), [p for rules in (LOCAL, CLOUD) for _, p in pe.steps(rules)])
     shared = pe.Shared(LOCAL, CLOUD)
     for rules, prefix in ((LOCAL, "l_"), (CLOUD, "c_")):
-        plan = pe.build(SparkX(ascii=ASCII), rules, "text", prefix, shared=shared)
+        plan = pe.build(d, rules, "text", prefix, shared=shared)
         cur = settled(staged(cur, plan), [e.alias(a) for a, e in plan.final])
     return cur.select("doc_id", _diff_count(_sx, "l_", "c_").alias("n_diff"))
 
@@ -242,11 +243,10 @@ def rule_catalog(spark, sf):
     """Every rule of both rule sets with the number of documents it matches."""
     rows = _catalog()
     patterns = [r[3] for r in rows if not r[4].startswith("contains:")]
-    cur, index = D.indexed(_docs(spark, sf), patterns)
-    # a pattern of several rules and rule sets is tried once a text, and only where a word of it stands
-    test = {p: D.where_standing(index, p, D._X.rx_test(F.col("text"), p), F.lit(False)) for p in patterns}
-    names = {p: f"_t{i}" for i, p in enumerate(test)}
-    cur = settled(cur, [t.alias(names[p]) for p, t in test.items()])
+    cur, d = with_words(_docs(spark, sf).select("text"), patterns)
+    # a pattern of several rules and rule sets is tried once a text, and only where its words stand
+    names = {p: f"_t{i}" for i, p in enumerate(dict.fromkeys(patterns))}
+    cur = settled(cur, [d.rx_test_guarded(F.col("text"), p).alias(name) for p, name in names.items()])
     hits = cur.agg(*[F.count_if(F.col(names[r[3]]) if r[3] in names else _catalog_hit(_sx, r, F.col("text"))).alias(f"h{i}")
                      for i, r in enumerate(rows)])
     arr = F.array(*[F.struct(F.lit(r[0]).alias("rule_set"), F.lit(r[1]).alias("field"),
@@ -309,7 +309,7 @@ def _loaded(spark, sf, sink, schema, tag):
     path = _scratch(spark, tag)
     docs = _docs(spark, sf)
     for rest in (0, 1):
-        start = Tb.append_table(sink(V.process(docs.where(F.col("doc_id") % 2 == rest), LOCAL)), path, schema)
+        start = Tb.append_table(sink(V.process(docs.where(F.coalesce(F.pmod("doc_id", F.lit(2)), F.lit(0)) == rest), LOCAL)), path, schema)
     return spark.read.schema(schema).parquet(path).withColumn("run", F.when(F.col("id") < start, 1).otherwise(2))
 
 
@@ -332,6 +332,53 @@ def load_log(spark, sf):
     return _loaded(spark, sf, V.status_log, ORDER_LOG_SCHEMA, "order-log").select(*LOG_NAMES, "run")
 
 
+def _rerun(spark, sf, sink, schema, tag):
+    """Two runs (even and odd documents) into one table; the second died once before its commit, and both are repeated."""
+    path = _scratch(spark, tag)
+    docs = _docs(spark, sf)
+    rows = {f"run-{rest}": sink(V.process(docs.where(F.coalesce(F.pmod("doc_id", F.lit(2)), F.lit(0)) == rest), LOCAL)) for rest in (0, 1)}
+    Ld.load(rows["run-0"], path, schema, "run-0", ["doc_id"])
+    Ld.stage(rows["run-1"], path, schema, "run-1", ["doc_id"], 1)  # staged, but never committed
+    for run in ("run-1", "run-0", "run-1"):
+        Ld.load(rows[run], path, schema, run, ["doc_id"])
+    return Ld.read(spark, path, schema)
+
+
+def _rerun_sql(sql, columns):
+    return (f"SELECT row_number() OVER (ORDER BY doc_id % 2, doc_id) AS id, {', '.join(columns)}, "
+            f"'run-' || CAST(doc_id % 2 AS VARCHAR) AS run_id FROM ({sql}) t")
+
+
+@query("rerun_load_orders", _rerun_sql(V.ROUTE_ACCEPT_SQL.format(p=PROCESSED), ORDER_NAMES))
+def rerun_load_orders(spark, sf):
+    """All order columns and dense ids of two runs, one of them killed and repeated."""
+    return _rerun(spark, sf, V.route_accept, ORDER_SCHEMA, "orders-again")
+
+
+@query("rerun_load_log", _rerun_sql(V.STATUS_LOG_SQL.format(p=PROCESSED), LOG_NAMES))
+def rerun_load_log(spark, sf):
+    return _rerun(spark, sf, V.status_log, ORDER_LOG_SCHEMA, "order-log-again")
+
+
+@query("dense_ids", f"SELECT id AS event_id, status, 1000 + row_number() OVER (ORDER BY id) AS id FROM ({LOG}) l")
+def dense_ids_q(spark, sf):
+    """Ids without gaps over the whole log, in the order of its events."""
+    log = _log(spark, sf).select(F.col("id").alias("event_id"), "status")
+    return Ld.dense_ids(log, ["event_id"], 1001, _scratch(spark, "dense-ids")).select("event_id", "status", "id")
+
+
+@query("table_row_counts", "SELECT 'orders' AS table_name, run_id, count(*) AS row_count FROM ("
+       + _rerun_sql(V.ROUTE_ACCEPT_SQL.format(p=PROCESSED), ("doc_id",)) + ") o GROUP BY run_id UNION ALL SELECT 'order_log', run_id, count(*) FROM ("
+       + _rerun_sql(V.STATUS_LOG_SQL.format(p=PROCESSED), ("doc_id",)) + ") l GROUP BY run_id")
+def table_row_counts(spark, sf):
+    """Rows of the loaded tables by run, counted in the tables."""
+    counts = [_rerun(spark, sf, sink, schema, tag).groupBy("run_id").agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(name).alias("table_name"), "run_id", "row_count")
+              for name, sink, schema, tag in (("orders", V.route_accept, ORDER_SCHEMA, "orders-counted"),
+                                              ("order_log", V.status_log, ORDER_LOG_SCHEMA, "log-counted"))]
+    return counts[0].unionByName(counts[1])
+
+
 @query("assign_ids", f"SELECT count(*) AS row_count, count(*) AS distinct_ids, TRUE AS from_start FROM ({LOG}) l")
 def assign_ids_q(spark, sf):
     ids = Tb.assign_ids(_log(spark, sf).select("status"), 1001)

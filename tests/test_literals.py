@@ -61,11 +61,12 @@ def test_index_never_hides_a_match(frame):
 
 
 def test_needed_words():
-    assert needed(R.BOL_RULES[3]) == {"bol", "b/l", "bill of lading"}
-    assert needed(r"(\d{8,})") is None and needed(r"(?:a|\d)x") is None
-    assert needed(r"(?:foo|bar\d+)?baz") == {"baz"} and needed(r"(?:foo|bar\d+)") == {"foo", "bar"}
-    assert needed(r"(x)(?=\nEnd)") == {"\nend"} and needed(r"(x)(?!\nEnd)") is None
-    assert needed(r"(?:LONGER WORD)+(\d)") == {"longer word"}
+    one = lambda p: [set(s) for s in needed(p)]
+    assert one(R.BOL_RULES[3]) == [{"bol", "b/l", "bill of lading"}] and one(R.SHIPPER_RULES[4]) == [{"shipper"}, {"consignee"}]
+    assert one(r"(\d{8,})") == [] and one(r"(?:a|\d)x") == []
+    assert one(r"(?:foo|bar\d+)?baz") == [{"baz"}] and one(r"(?:foo|bar\d+)") == [{"foo", "bar"}]
+    assert one(r"(x)(?=\nEnd)") == [{"\nend"}] and one(r"(x)(?!\nEnd)") == []
+    assert one(r"(?:LONGER WORD)+(\d)") == [{"longer word"}] and one(r"Stop\s*\n\s*Here") == [{"stop"}, {"here"}]
 
 
 @pytest.mark.parametrize("word", ["origin ", "bill ", "weight ", "date ", "ship ", "ship to ", "from "])

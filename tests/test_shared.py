@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from manifest_spark.functions import regex as rx
 from manifest_spark.functions.dialect import SparkX
 from manifest_spark.operators import coverage as D
-from manifest_spark.operators.extract import ASCII, parse, settled, staged, with_ascii
+from manifest_spark.operators.extract import parse, settled, staged, with_words
 from manifest_spark.plans import extract as pe
 from manifest_spark.plans.fixtures import document_text
 from manifest_spark.plans.rules import CLOUD, FIELDS, LOCAL
@@ -18,9 +18,10 @@ from test_extract import QUIRKS
 
 
 def together(docs, sets):
-    cur, shared, out = with_ascii(docs.select("doc_id", "text")), pe.Shared(*sets), []
+    cur, d = with_words(docs.select("doc_id", "text"), [p for rules in sets for _, p in pe.steps(rules)])
+    shared, out = pe.Shared(*sets), []
     for i, rules in enumerate(sets):
-        plan = pe.build(SparkX(ascii=ASCII), rules, "text", f"s{i}_", shared=shared)
+        plan = pe.build(d, rules, "text", f"s{i}_", shared=shared)
         cur = settled(staged(cur, plan), [e.alias(a) for a, e in plan.final])
         out.append([f"s{i}_{f}" for f in FIELDS])
     return cur, out
