@@ -14,7 +14,6 @@ from __future__ import annotations
 import io
 import os
 import uuid
-from contextlib import contextmanager
 from itertools import permutations
 from math import factorial
 
@@ -131,20 +130,6 @@ def label_flags(labels: DataFrame) -> DataFrame:
     return each.agg((bit("quality", 1) + bit("toxic", 2)).alias("flags"))
 
 
-@contextmanager
-def settings(spark: SparkSession, **values):
-    """Session settings for the start of a stream, which keeps them; put back afterwards."""
-    names = {k.replace("__", "."): v for k, v in values.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    try:
-        for k, v in names.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def _buckets(spark: SparkSession, place: str, table: DataFrame, texts: int) -> int:
     """The number of states, fixed by the first run and kept in ``place``."""
     path = os.path.join(place, "start")
@@ -190,10 +175,9 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, place: str | Non
         total = batch.groupBy("part", "mask", "flags").agg(F.sum("n").alias("n"))
         total.write.mode("overwrite").parquet(os.path.join(out, f"batch-{number}"))
 
-    with settings(spark, spark__sql__streaming__stateStore__providerClass="org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-                  spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true"):
-        run = (changes.writeStream.outputMode("update").option("checkpointLocation", os.path.join(place, "progress"))
-               .foreachBatch(keep).trigger(availableNow=True).start())
+    # the session chooses the state store (spark.sql.streaming.stateStore.providerClass)
+    run = (changes.writeStream.outputMode("update").option("checkpointLocation", os.path.join(place, "progress"))
+           .foreachBatch(keep).trigger(availableNow=True).start())
     run.awaitTermination()
     each = spark.read.schema(COUNTS).parquet(os.path.join(out, "*"))
     return each.groupBy("part", "mask", "flags").agg(F.sum("n").alias("n")).where("n <> 0")
