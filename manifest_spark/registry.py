@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from .functions.dialect import SparkX, SqlX, q
 from .functions import regex as rx
 from .operators import coverage as D
+from .operators import hitters as H
 from .operators import names as N
+from .operators import partials as Pt
 from .operators import reports as Rp
 from .operators import route as V
 from .operators.extract import parse, parse_sql, settled, staged, with_words
@@ -466,6 +468,47 @@ for _name, _fn, _sql in (
     ORACLE[_name] = _sql.format(log=LOG)
 
 
+def _kept(spark, sf):
+    """The log kept by day, in two batches that share days."""
+    path, log = _scratch(spark, "kept-log"), _log(spark, sf)
+    for rest in (0, 1):
+        Pt.keep(log.where(F.pmod("id", F.lit(2)) == rest), path)
+    return path
+
+
+@query("kept_daily_report", Rp.DAILY_REPORT_SQL.format(log=LOG))
+def kept_daily_report(spark, sf):
+    return Pt.daily_report(spark, _kept(spark, sf))
+
+
+@query("kept_daily_report_all", Rp.DAILY_REPORT_ALL_SQL.format(log=LOG))
+def kept_daily_report_all(spark, sf):
+    return Pt.daily_report_all(spark, _kept(spark, sf))
+
+
+@query("kept_last_7_days", Rp.LAST_7_DAYS_SQL.format(log=LOG))
+def kept_last_7_days(spark, sf):
+    return Pt.last_days(spark, _kept(spark, sf))
+
+
+@query("frequent_errors", Rp.COMMON_ERRORS_SQL.format(log=LOG))
+def frequent_errors(spark, sf):
+    """The commonest error messages, found by summaries of hashes."""
+    errors = _log(spark, sf).where(F.col("status") == "rejected").select("error_message")
+    e = F.col("error_message")
+    return H.most_frequent(errors, 5, "error_message").select(
+        F.when(F.length(e) > 100, F.concat(F.substring(e, 1, 100), F.lit("..."))).otherwise(e).alias("message"), F.col("n").alias("error_count"))
+
+
+@query("frequent_lines",
+       "SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) l WHERE line <> '' "
+       "GROUP BY line ORDER BY n DESC, line LIMIT 20")
+def frequent_lines(spark, sf):
+    """The lines that stand most often in all documents."""
+    lines = _documents(spark, sf).select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    return H.most_frequent(lines, 20, "line")
+
+
 @query("recent_orders", Rp.RECENT_ORDERS_SQL.format(orders=V.ROUTE_ACCEPT_SQL.format(p=PROCESSED)))
 def recent_orders(spark, sf):
     return Rp.recent_orders(V.route_accept(_processed(spark, sf)), key="doc_id")
@@ -508,11 +551,11 @@ ORACLE["rule_attribution"] = D.rule_attribution_sql(DOCS)
 # ---- ST: streaming --------------------------------------------------------------------
 @query("stream_daily_report", Rp.DAILY_REPORT_ALL_SQL.format(log=LOG))
 def stream_daily_report(spark, sf):
-    """The daily report computed by a streaming aggregate over ``events``, one file at a time in any order."""
+    """The daily report computed by a streaming aggregate over the files of ``events``, in any order."""
     from .streaming import stream as St
     ev_schema = Tb.read_table(spark, sf, "events").schema
     # a table is a file or a folder of files
-    ev = spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(sf, "events.parquet*"))
+    ev = spark.readStream.schema(ev_schema).parquet(os.path.join(sf, "events.parquet*"))
     err = F.col("event_type") == "error"
     log = ev.select(
         F.date_trunc("second", F.col("ts")).cast("timestamp").alias("log_timestamp"),
@@ -522,3 +565,23 @@ def stream_daily_report(spark, sf):
     q_ = St.start_daily_report(spark, log, out, _scratch(spark, "daily-ckpt"))
     q_.awaitTermination()
     return St.read_daily_report(spark, out)
+
+
+@query("ingest_once",
+       "SELECT email_from, email_subject, CASE WHEN doc_id % 4 = 2 THEN substring(attachment_name, 1, length(attachment_name) - 4) || '.PDF' "
+       f"ELSE attachment_name END AS attachment_name, status, error_message, extracted_fields FROM ({V.STATUS_LOG_SQL.format(p=PROCESSED)}) l")
+def ingest_once(spark, sf):
+    """From stored messages to the log by a stream; each message is delivered twice, the second time over a relay."""
+    from .streaming import stream as St
+    inbox, out = _scratch(spark, "inbox"), _scratch(spark, "ingested")
+    messages = S.messages_from_documents(_docs(spark, sf))
+    messages.write.parquet(inbox)
+    again = spark.read.parquet(inbox).select(F.concat(F.lit("again_"), "path").alias("path"),
+                                             F.concat(F.encode(F.lit("Received: by relay\n"), "UTF-8"), F.col("content")).alias("content"))
+    again.write.mode("append").parquet(inbox)
+    stored = spark.read.parquet(inbox)
+    files = len(stored.inputFiles())
+    stream = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(inbox)
+    St.ingest_stream(stream, out, _scratch(spark, "ingested-progress"), run_ts=V.RUN_TS).awaitTermination()
+    return spark.read.parquet(os.path.join(out, "order_log")).select(
+        "email_from", "email_subject", "attachment_name", "status", "error_message", "extracted_fields")

@@ -36,12 +36,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only in local mode, where all share it."""
-    cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        cur = tempfile.mkdtemp(prefix="manifest-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
-    return cur
+    """The shared checkpoint folder the cluster names; a scratch one only in local mode, where all share it.
+
+    A session's setting cannot be changed while it runs, so that a scratch
+    folder is kept by the context alone.
+    """
+    named, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    kept = context.getCheckpointDir()
+    if named:
+        if kept is None:
+            context.setCheckpointDir(named)
+        return named
+    if kept is not None:
+        return kept
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="manifest-ckpt-", dir="/tmp"))
+    return context.getCheckpointDir()

@@ -1,7 +1,9 @@
 """Incremental runs with Structured Streaming.
 
-* ``start_ingest`` (ST1): a file stream over the landing directory; each
-  micro-batch is parsed, validated and written to the orders, log and outbox
+* ``start_ingest`` (ST1): a file stream over the landing directory; a message
+  that is delivered again, in another file or batch, is dropped by its id,
+  which the stream's state keeps; each micro-batch of new messages is parsed
+  once, validated and written to the orders, log and outbox
   tables by ``foreachBatch``.  Every sink is partitioned by ``batch_id`` and
   written with dynamic partition overwrite, so a replayed batch (after a
   failure, before its offsets were committed) rewrites the same partition
@@ -24,7 +26,9 @@ from pyspark.sql import functions as F
 
 from ..operators import route
 from ..plans.rules import LOCAL, RuleSet
-from ..sources.ingest import attachment_text, pdf_attachments, unreadable_messages
+from ..sources.ingest import all_parts, attachment_text, attachments_of, message_id, unreadable_of
+
+from ..sources.tables import existing_table
 
 
 def _overwrite_partitions(df: DataFrame, path: str, by: list) -> None:
@@ -47,7 +51,8 @@ def process_batch(batch: DataFrame, batch_id: int, out_dir: str, rules: RuleSet
     """
     run_ts = run_ts or dt.datetime.now().isoformat(sep=" ", timespec="seconds")
     tag = lambda df: df.withColumn("batch_id", F.lit(batch_id))
-    att = pdf_attachments(batch).withColumn("doc_id", F.concat_ws("#", "path", F.col("part_no").cast("string")))
+    parts = all_parts(batch).persist()  # each message is parsed once
+    att = attachments_of(parts).withColumn("doc_id", F.concat_ws("#", "path", F.col("part_no").cast("string")))
     docs = attachment_text(att, decoder).select("doc_id", "email_from", "email_subject", "attachment_name", "text")
     p = route.process(docs, rules, run_ts).persist()  # six sinks; released below
     try:
@@ -57,10 +62,11 @@ def process_batch(batch: DataFrame, batch_id: int, out_dir: str, rules: RuleSet
                          ("outbox", route.rejection_outbox(p)),
                          ("notices", route.success_outbox(p)),
                          ("notice_lines", route.success_lines(p)),
-                         ("unreadable", unreadable_messages(batch))):
+                         ("unreadable", unreadable_of(parts))):
             _overwrite_partitions(tag(df), os.path.join(out_dir, name), ["batch_id"])
     finally:
         p.unpersist()
+        parts.unpersist()
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
@@ -69,7 +75,18 @@ def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint
     schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
     src = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.eml")
            .load(landing_dir))
-    w = (src.writeStream.option("checkpointLocation", checkpoint)
+    return ingest_stream(src, out_dir, checkpoint, rules, run_ts, available_now, decoder)
+
+
+def ingest_stream(messages: DataFrame, out_dir: str, checkpoint: str, rules: RuleSet = LOCAL, run_ts: str | None = None,
+                  available_now: bool = True, decoder=utf8_page):
+    """Start the ingest of a stream of ``messages(path, content)``.
+
+    Message ids are keyed state: one row for each message ever seen, in the
+    session's state store (on a cluster, RocksDB).
+    """
+    new = messages.select("path", "content", message_id(F.col("content")).alias("message_id")).dropDuplicates(["message_id"])
+    w = (new.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda b, i: process_batch(b, i, out_dir, rules, run_ts, decoder)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
@@ -119,5 +136,6 @@ def start_daily_report(spark: SparkSession, log_stream: DataFrame, out_dir: str,
 
 def read_daily_report(spark: SparkSession, out_dir: str) -> DataFrame:
     """The upserted days with their averages and rates; no rows if the stream had none."""
-    spark.createDataFrame([], DAILY_SCHEMA).write.mode("append").parquet(out_dir)
-    return finish_daily(spark.read.schema(DAILY_SCHEMA).parquet(out_dir))
+    days = existing_table(spark, out_dir)  # the schema is given: the folder may hold no file yet
+    empty = spark.createDataFrame([], DAILY_SCHEMA)
+    return finish_daily(empty if days is None else spark.read.schema(DAILY_SCHEMA).parquet(out_dir))
