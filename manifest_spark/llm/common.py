@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 CHUNK_BYTES = 4 << 20
 
 
@@ -21,14 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (``spark.checkpoint.dir``); a scratch one only when unset."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(place)
-    return place
+    """The folder that the cluster shares; where none is named, a scratch one in local mode only."""
+    return ensure_checkpoint_dir(spark)
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ _CLASS[128:192] = 32 + np.arange(64)
 _CLASS[192:256] = 31
 _CLASS[0xC3] = 30
 BLANK = 27
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # category L, as the native rule: signs such as ½ or Ⅷ are no letters
 
 
 def windows(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
