@@ -368,6 +368,29 @@ def template_windows(rows: DataFrame, id_col: str, ways: list[tuple[int, int]] =
     return src.mapInArrow(run, _WINDOW_TYPE)
 
 
+#: Of an alignment with clashing values, the least share of windows that must agree.
+SHARE = (2, 3)
+
+
+def _consistent(w, v):
+    """Places of the windows ``w`` (place, v) of an alignment whose slot values ``v`` (x, y) are one-to-one together.
+
+    Where values clash, pairs are taken by the number of windows that hold
+    them, each unless its x or y is taken already; the windows that hold no
+    other pairs stay, if they are two thirds of the alignment at least: one
+    changed value in a long item is a slip, many make another question.
+    """
+    clear = (F.size(v) == F.size(F.array_distinct(v["x"]))) & (F.size(v) == F.size(F.array_distinct(v["y"])))
+    every = F.flatten(F.transform(w, lambda one: F.array_distinct(one["v"])))
+    ranked = F.array_sort(F.transform(v, lambda p: F.struct((-F.size(F.filter(every, lambda o: o == p))).alias("rank"), p["x"].alias("x"), p["y"].alias("y"))))
+    free = lambda taken, p: ~F.exists(taken, lambda t: (t["x"] == p["x"]) | (t["y"] == p["y"]))
+    taken = F.aggregate(ranked, F.filter(ranked, lambda p: F.lit(False)),
+                        lambda acc, p: F.when(free(acc, p), F.concat(acc, F.array(p))).otherwise(acc))
+    agrees = lambda one: F.forall(one["v"], lambda p: F.exists(taken, lambda t: (t["x"] == p["x"]) & (t["y"] == p["y"])))
+    kept = F.filter(w, agrees)
+    return F.when(clear, w["place"]).when(SHARE[1] * F.size(kept) >= SHARE[0] * F.size(w), F.transform(kept, lambda one: one["place"]))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, windows: int = WINDOWS) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, coverage): benchmark items found in documents.
 
@@ -375,7 +398,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, windows: int = WINDOWS)
     fewer) stand in the document with consistent slots: along one alignment
     each number, name and unit of the item has one value in the document and
     no two of one kind share a value; spellings of a unit, singular and plural,
-    are one value.  An item's first word is a plain one,
+    are one value.  Where a few values clash, the windows without them count,
+    if they are two thirds of the alignment or more.  An item's first word is a plain one,
     also where it stands inside a sentence and looks like a name or a unit.
     Items of 5 to 7 tokens are one window and must stand as a whole.
 
@@ -414,10 +438,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, windows: int = WINDOWS)
     values = F.filter(F.arrays_zip(F.col("item_slots").alias("x"), F.col("doc_slots").alias("y")), lambda v: v["x"].isNotNull())
     item = ["doc_id", "item_id", "way", "total", "weight", "key"]
     along = (pairs.groupBy(*item, (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
-             # both sets are bounded by the item's length
-             .agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_set(values))).alias("v")))
-    one_to_one = (F.size("v") == F.size(F.array_distinct(F.col("v.x")))) & (F.size("v") == F.size(F.array_distinct(F.col("v.y"))))
-    found = along.where(one_to_one).select(*item, "shift", F.explode("places").alias("place"))
+             # windows and their slots are bounded by the item's length
+             .agg(F.collect_set(F.struct(F.col("item_pos").alias("place"), values.alias("v"))).alias("w"))
+             .withColumn("v", F.array_distinct(F.flatten("w.v"))))
+    found = along.select(*item, "shift", F.explode(F.array_distinct(_consistent(F.col("w"), F.col("v")))).alias("place"))
     # the parts may stand apart, a whole may not
     shift = F.when(F.col("way") != PARTS, F.col("shift"))
     found = found.select(*item, shift.alias("shift"), "place").distinct().groupBy(*item, "shift").agg(F.count(F.lit(1)).alias("n_windows"))

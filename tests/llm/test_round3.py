@@ -306,3 +306,66 @@ def test_runs_cover_all_pairs(rows, few, cut):
     for v in groups.values():
         if len(v) <= few:
             assert {(x, y) for x in v for y in v if x > y} <= pairs
+
+
+# ---- op4: values that clash here and there -----------------------------------------
+
+LONG = ("In the old harbour town a baker named Maria bakes 12 large loaves every morning before the sun comes up, and she sells them to the people "
+        "of the valley who come down by cart with 30 baskets on market days, while her brother keeps the small mill by the river and grinds 12 "
+        "sacks of wheat for the whole village each week until the first snow of the winter falls")
+
+
+def consistent(windows, share):
+    """The places that stay, by plain Python: pairs by the number of windows that hold them, each unless its x or y is taken."""
+    pairs = {p for _, v in windows for p in v}
+    if len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs):
+        return {p for p, _ in windows}
+    count, taken = Counter(p for _, v in windows for p in set(v)), []
+    for x, y in sorted(pairs, key=lambda p: (-count[p], p)):
+        if all(x != a and y != b for a, b in taken):
+            taken.append((x, y))
+    kept = [p for p, v in windows if all(q in taken for q in v)]
+    return set(kept) if share[1] * len(kept) >= share[0] * len(windows) else set()
+
+
+def test_one_changed_value_does_not_hide_an_item(spark):
+    from manifest_spark.llm import decontam
+    at = LONG.rindex("12")
+    other = lambda n: LONG[:at] + n + LONG[at + 2:]
+    docs = [(1, LONG), (2, "so " + other("13") + " now"), (3, other("3")), (4, LONG.replace("12", "40").replace("30", "5").replace("Maria", "Anna")),
+            (5, LONG.replace("bakes 12", "bakes 30")), (6, LONG[:60])]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, LONG)], "item_id long, text string"))
+    rows = {r.doc_id: r.n_windows for r in got.collect()}
+    assert {1, 2, 3, 4} <= set(rows) and 6 not in rows and rows[2] < rows[1] == rows[4]
+
+
+def test_consistent_windows_against_plain_python(spark):
+    from pyspark.sql import functions as F
+    from manifest_spark.llm import decontam
+    rng = random.Random(9)
+    cases = []
+    for i in range(400):
+        mapping = {x: f"y{x}" for x in "abcd"}
+        windows = []
+        for place in range(rng.randint(1, 14)):
+            v = [(x, mapping[x] if rng.random() < 0.9 else rng.choice(["ya", "yb", "z"])) for x in rng.sample("abcd", rng.randint(0, 3))]
+            windows.append((place, v))
+        cases.append((i, windows))
+    df = spark.createDataFrame([(i, [(p, [(x, y) for x, y in v]) for p, v in w]) for i, w in cases],
+                               "i int, w array<struct<place: int, v: array<struct<x: string, y: string>>>>")
+    df = df.withColumn("v", F.array_distinct(F.flatten("w.v")))
+    got = {r.i: set(r.places or []) for r in df.select("i", decontam._consistent(F.col("w"), F.col("v")).alias("places")).collect()}
+    assert got == {i: consistent(w, decontam.SHARE) for i, w in cases}
+
+
+# ---- op8: signs that are no letters ------------------------------------------------
+
+def test_letterless_texts_have_no_language(spark):
+    from manifest_spark.llm import langid
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the house and the garden", "en"), ("das Haus und der Garten", "de")] * 30)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = ["½ ² ①", "Ⅷ", "12 34", "ª", "日", "x½"]
+    got = langid.detect_language(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert [r.lang_pred == "und" for r in sorted(got, key=lambda r: r.doc_id)] == [True, True, True, False, False, False]
+    kept = langid.with_language(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, 0.0).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 4, 5]
