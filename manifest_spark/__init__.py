@@ -1,3 +1,3 @@
 """Rule-based extraction of shipping records from documents, on Spark."""
 
-from .plans.rules import CLOUD, LOCAL, RULE_SETS, RuleSet  # noqa: F401
+from .plans.rules import CLOUD, LOCAL, RuleSet  # noqa: F401

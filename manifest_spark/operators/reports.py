@@ -173,7 +173,9 @@ def _day_stats(g):
 def daily_report(log: DataFrame, day=None) -> DataFrame:
     """Stats for one calendar day (default: the day of the latest log row)."""
     d = F.to_date(_as_of(log, None)) if day is None else F.to_date(F.lit(day))
-    g = _day_stats(log.where(F.to_date("log_timestamp") == d))
+    start, t = d.cast("timestamp_ntz"), F.col("log_timestamp")
+    # a range of the raw time, which statistics of files and row groups can tell
+    g = _day_stats(log.where((t >= start) & (t < start + F.expr("INTERVAL 1 DAY"))))
     return g.select("*", _rate(F.col("successful"), F.col("total_processed")).alias("success_rate"))
 
 

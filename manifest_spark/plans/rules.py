@@ -64,7 +64,6 @@ DATE_RULES = (
     r"(?:Delivery\s*Date|Date\s*Delivered)\s*:?\s*(\d{1,2}[\/\-]\d{1,2}[\/\-]\d{2,4})",
 )
 DATE_CONTEXT_SHIP = r"(?:ship|departure)"
-DATE_CONTEXT_DELIVERY = r"(?:delivery|arrival|appt)"
 
 WEIGHT_RULES = (
     r"(\d{2,3},\d{3})\s*lbs",
@@ -285,8 +284,6 @@ CLOUD = RuleSet(
     reference=REFERENCE_RULES[:2],
 )
 
-RULE_SETS = {"local": LOCAL, "cloud": CLOUD}
-
 
 def catalog_rows(rule_set: RuleSet) -> list[tuple]:
     """(rule_set, field, priority, pattern, stop_rule) rows of a rule set."""

@@ -9,7 +9,9 @@ FAST = ["parse_all", "parse_cloud", "rule_set_diff", "status_log", "route_reject
         "success_outbox", "empty_documents", "document_text", "load_orders", "overall_stats",
         "last_7_days", "recent_activity", "common_errors", "daily_report_all", "recent_orders",
         "pattern_coverage", "address_pairs", "date_format_census", "keyword_census_documents",
-        "page_profile", "field_fill", "rule_attribution", "tail_csv_log", "ensure_columns"]
+        "page_profile", "field_fill", "rule_attribution", "tail_csv_log", "ensure_columns",
+        "names_in_documents", "names_in_documents_joined", "parse_listed_sites", "rule_catalog", "rerun_load_orders", "dense_ids",
+        "kept_daily_report", "kept_last_7_days", "frequent_errors", "frequent_lines", "daily_report"]
 
 
 def _norm(v):
