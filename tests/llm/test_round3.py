@@ -369,3 +369,14 @@ def test_letterless_texts_have_no_language(spark):
     assert [r.lang_pred == "und" for r in sorted(got, key=lambda r: r.doc_id)] == [True, True, True, False, False, False]
     kept = langid.with_language(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, 0.0).collect()
     assert sorted(r.doc_id for r in kept) == [3, 4, 5]
+
+
+def test_filter_audit_equals_its_sql(spark):
+    import duckdb
+    from manifest_spark.llm.queries import ORACLE, QUERIES
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = con.execute(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLE['op12_filter_audit']})").fetchall()
+    got = QUERIES["op12_filter_audit"](spark, SF).select(*COLUMNS).collect()
+    assert len(want) > 1000 and sorted(map(tuple, got)) == sorted(want)
