@@ -1,9 +1,14 @@
-"""Work done once: stored runs."""
+"""Work done once: stored runs; messages rendered without the library."""
+
+import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import manifest_spark.registry as Rg
 from conftest import SF_SMALL
+from manifest_spark.sources import ingest as S
 
 
 @pytest.mark.parametrize("name", ["rerun_load_log", "rerun_load_orders", "table_row_counts"])
@@ -18,3 +23,21 @@ def test_loads_that_are_repeated_sort_stored_rows(spark, monkeypatch, name):
     Rg.QUERIES[name](spark, SF_SMALL)
     assert len(plans) == (6 if name == "table_row_counts" else 3)
     assert not any("Generate" in p or "Join" in p for p in plans)  # no rule is evaluated again for bounds, a repeated run or another table
+
+
+@given(st.integers(-10, 1 << 40), st.sampled_from(["user7@example.com", "Ünal@example.com", "a b@example.com", "a,b@example.com", "x"]),
+       st.sampled_from(["Load 7", "", " Load", "Größe", "Load: 7", "a" * 90, "Load " * 8 + "x", "a\tb"]),
+       st.sampled_from(["doc_7.pdf", "a b.pdf", "é.pdf", 'a"b.pdf', ".pdf", "x" * 30, "x" * 90 + ".pdf"]), st.binary(max_size=200))
+@settings(max_examples=300, deadline=None)
+def test_rendered_messages_are_those_of_the_library(doc_id, sender, subject, name, payload):
+    args = (doc_id, sender, subject, name, payload)
+    same = lambda m: re.sub(rb"={15}\d{19}==", b"border", m)
+    assert same(S.render_message(*args)) == same(S.built_message(*args))
+    assert S.message_parts(S.render_message(*args)) == S.message_parts(S.built_message(*args))
+
+
+def test_plain_messages_are_rendered_without_the_library(monkeypatch):
+    monkeypatch.setattr(S, "built_message", None)
+    for i in range(9):
+        name, content = [(p[4], p[5]) for p in S.message_parts(S.render_message(i, f"user{i}@example.com", f"Load {i}", f"doc_{i}.pdf", b"text"))][1]
+        assert (name, content) == (f"doc_{i}.PDF" if i % 4 == 2 else f"doc_{i}.pdf", b"text")
