@@ -80,19 +80,29 @@ def held_out(doc_id: str, mod: int, rest: int):
     return F.coalesce(fold(doc_id, mod) == rest, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, limit: int) -> DataFrame:
-    """At most ``limit`` labelled documents outside the held-out fold, as (doc_id, text, y).
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int) -> DataFrame:
+    """All labelled documents outside the held-out fold, as (doc_id, text, y).
 
-    The first ``limit`` ids in the order of a hash of the id.  Null and other
-    labels than 0 and 1 are left out; of several labels of an id the largest
-    counts, of several texts the smallest.
+    Null and other labels than 0 and 1 are left out; of several labels of an id
+    the largest counts, of several texts the smallest.
     """
-    few = (labels.select("doc_id", F.col(label).cast("int").alias("y"))
+    return _texts_with(docs, _labels(labels, label, mod, rest))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, limit: int) -> DataFrame:
+    """At most ``limit`` of ``labelled_rows``: the first ids in the order of a hash of the id."""
+    # the broadcast side holds `limit` rows of two numbers at most
+    return _texts_with(docs, F.broadcast(thinned(_labels(labels, label, mod, rest), limit, "doc_id")))
+
+
+def _labels(labels: DataFrame, label: str, mod: int, rest: int) -> DataFrame:
+    return (labels.select("doc_id", F.col(label).cast("int").alias("y"))
            .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", mod) != rest))
            .groupBy("doc_id").agg(F.max("y").alias("y")))
-    few = thinned(few, limit, "doc_id")
-    # the broadcast side holds `limit` rows of two numbers at most
-    return (docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+
+
+def _texts_with(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    return (docs.select("doc_id", "text").join(wanted, "doc_id")
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")))
 
 

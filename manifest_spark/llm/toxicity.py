@@ -12,12 +12,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, chunks, labelled_sample, texts_of, written
+from .common import Memo, chunks, labelled_rows, texts_of, written
 
-#: Most labelled rows that the model learns from, and most word features it may hold.
-SAMPLE_ROWS = 16_000
+#: Most word features that the model may hold.
 MAX_FEATURES = 4000
-#: A feature must stand in so many toxic sample texts, and so large a part of its texts must be toxic.
+#: Counters that a task holds before it hands them on.
+MOST_COUNTERS = 500_000
+#: A feature must stand in so many toxic texts, and so large a part of its texts must be toxic.
 MIN_TOXIC, MIN_SHARE = 5, 0.9
 #: Texts counted against each feature besides those seen.
 DOUBT = 1
@@ -49,6 +50,12 @@ class CharModel:
         self.total = {c: sum(x.values()) for c, x in self.next.items()}
         self.cache: dict[tuple[str, str], float] = {}
 
+    @classmethod
+    def shipped(cls, nexts: dict[str, Counter]) -> "CharModel":
+        model = cls({})
+        model.next, model.total = nexts, {c: sum(x.values()) for c, x in nexts.items()}
+        return model
+
     def logp(self, context: str, letter: str) -> float:
         key = (context, letter)
         if (got := self.cache.get(key)) is None:
@@ -121,24 +128,36 @@ def features_of(word: str) -> list[str]:
     return [word] + [word[:k] + "~" for k in PREFIXES if len(word) >= k]
 
 
-def char_counts(sample: DataFrame) -> dict[str, int]:
-    """Character n-grams of the distinct plain words of each sampled text (at most one entry per n-gram of letters)."""
+def char_counts(rows: DataFrame) -> dict[str, int]:
+    """Character n-grams of the distinct plain words of each text (at most one entry per n-gram of letters)."""
     def run(batches):
-        got: Counter = Counter()
-        for b in chunks(batches):
-            for t in texts_of(b):
-                for w in {x for token in set(t.lower().split()) if not _ODD.search(token) for x in _WORDS.findall(token)}:
-                    line = "^" * (ORDER - 1) + w + "$"
-                    got.update(line[i:i + ORDER] for i in range(len(w) + 1))
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())],
-                                         names=["gram", "n"])
-
-    rows = sample.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r["gram"]: r["n"] for r in rows}
+        got, memo = Counter(), Memo()
 
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["gram", "n"])
 
-def signatures(sample: DataFrame) -> DataFrame:
-    """(doc_id, s): the smallest hashes of each sampled text's 3-word shingles under several seeds."""
+        for b in chunks(batches):
+            words: Counter = Counter()
+            for t in texts_of(b):
+                tokens = set(t.lower().split())
+                for k in memo.missing(tokens):
+                    memo.young[k] = [] if _ODD.search(k) else _WORDS.findall(k)
+                words.update({w for k in tokens for w in memo.young[k]})
+            for w, n in words.items():
+                line = "^" * (ORDER - 1) + w + "$"
+                for i in range(len(w) + 1):
+                    got[line[i:i + ORDER]] += n
+            if len(got) > MOST_COUNTERS:
+                yield out()
+                got.clear()
+        yield out()
+
+    grams = rows.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    return dict(zip(grams.column("gram").to_pylist(), grams.column("n").to_pylist()))
+
+
+def signatures(rows: DataFrame) -> DataFrame:
+    """(doc_id, s): the smallest hashes of each text's 3-word shingles under several seeds."""
     def run(batches):
         for b in chunks(batches):
             out = []
@@ -149,51 +168,62 @@ def signatures(sample: DataFrame) -> DataFrame:
                 out.append([int((h * m).min().view(np.int64)) for m in SEEDS])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "s"])
 
-    return sample.mapInArrow(run, "doc_id long, s array<long>")
+    return rows.mapInArrow(run, "doc_id long, s array<long>")
 
 
-def without_copies(sample: DataFrame) -> DataFrame:
-    """``sample`` less texts that share a signature with one of a smaller id, so that copies do not vouch for a word."""
-    seen: set[tuple[int, int]] = set()
-    kept = []
-    for doc, s in sorted(signatures(sample).collect()):  # the sample's rows, four numbers each
-        keys = set(enumerate(s))
-        if not keys & seen:
-            kept.append((doc,))
-        seen |= keys
-    return sample.join(F.broadcast(sample.sparkSession.createDataFrame(kept, "doc_id long")), "doc_id")
+def without_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` less texts that share a signature with one of a smaller id, so that copies do not vouch for a word."""
+    each = signatures(rows).select("doc_id", F.posexplode("s").alias("seed", "h"))
+    first = each.groupBy("seed", "h").agg(F.min("doc_id").alias("doc_id"))
+    # a text counts if its id is the first at each of its signatures
+    own = first.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(SEEDS)).select("doc_id")
+    return rows.join(written(own, "toxic-own"), "doc_id")
 
 
-def feature_counts(sample: DataFrame, model: CharModel) -> DataFrame:
+def feature_counts(rows: DataFrame, model: CharModel) -> DataFrame:
     """(feature, t, n): in how many toxic texts, and in how many texts, each feature of restored words stands."""
+    shipped = rows.sparkSession.sparkContext.broadcast(dict(model.next))  # bounded by letters
+
     def run(batches):
+        model, memo = CharModel.shipped(shipped.value), Memo()
         toxic, every = Counter(), Counter()
+
+        def out():
+            # features that never stand in a toxic text of this task still count as texts
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(every), pa.string()), pa.array([toxic[f] for f in every], pa.int64()), pa.array(list(every.values()), pa.int64())],
+                names=["feature", "t", "n"])
+
         for b in chunks(batches):
             for t, y in zip(texts_of(b), b.column("y").to_pylist()):
                 low = t.lower()
-                words = {w for token in set(low.split()) for w in words_of(token, model)}.union(spaced_words(low, model))
+                tokens = set(low.split())
+                for k in memo.missing(tokens):
+                    memo.young[k] = words_of(k, model)
+                words = {w for k in tokens for w in memo.young[k]}.union(spaced_words(low, model))
                 found = {f for w in words for f in features_of(w)}
                 every.update(found)
                 if y:
                     toxic.update(found)
-        # features that never stand in a toxic text of this task still count as texts
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(every), pa.string()), pa.array([toxic[f] for f in every], pa.int64()), pa.array(list(every.values()), pa.int64())],
-            names=["feature", "t", "n"])
+            if len(every) > MOST_COUNTERS:
+                yield out()
+                toxic.clear()
+                every.clear()
+        yield out()
 
-    return sample.mapInArrow(run, "feature string, t long, n long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "feature string, t long, n long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, limit: int = SAMPLE_ROWS) -> tuple:
-    """(character model, chances by feature, chance without any) from at most ``limit`` labelled rows outside the held-out fold.
+def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1) -> tuple:
+    """(character model, chances by feature, chance without any) from all labelled rows outside the held-out fold.
 
     A feature is a word or a word's beginning that stands almost only in toxic
-    sample texts; its chance is the share of them among its texts, DOUBT more
-    texts counted against it.
+    texts; its chance is the share of them among its texts, DOUBT more texts
+    counted against it.
     """
-    sample = written(labelled_sample(docs, labels, "toxic", mod, rest, limit), "toxic-sample")
-    model = CharModel(char_counts(sample))
-    own = without_copies(sample)
+    rows = written(labelled_rows(docs, labels, "toxic", mod, rest), "toxic-rows")
+    model = CharModel(char_counts(rows))
+    own = without_copies(rows)
     found = (feature_counts(own, model).where((F.col("t") >= MIN_TOXIC) & (F.col("t") >= MIN_SHARE * F.col("n")))
              .orderBy(F.desc("t"), "feature").limit(MAX_FEATURES).collect())
     chances = {r["feature"]: r["t"] / (r["n"] + DOUBT) for r in found}
@@ -219,9 +249,7 @@ class Scorer:
     @classmethod
     def shipped(cls, parts: tuple) -> "Scorer":
         nexts, chances, bias = parts
-        model = CharModel({})
-        model.next, model.total = nexts, {c: sum(x.values()) for c, x in nexts.items()}
-        return cls(model, chances, bias)
+        return cls(CharModel.shipped(nexts), chances, bias)
 
     def weigh(self, words) -> list[tuple[str, float]]:
         get = self.chances.get
