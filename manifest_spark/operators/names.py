@@ -24,6 +24,8 @@ from ..plans.rules import LOCAL, RuleSet
 MOST_BYTES, MOST_NAMES = 1 << 20, 100_000
 #: log2 of the most bits of the filter over the hashes of a longer list.
 FILTER_BITS = 27
+#: Where the three stretches of FILTER_BITS bits of a gram's hash begin.
+PLACES = (0, 18, 37)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
@@ -123,52 +125,78 @@ def _keyed(names: DataFrame) -> DataFrame:
     return names.mapInArrow(run, "name string, m int, gram long")
 
 
-def by_join(docs: DataFrame, names: DataFrame, key: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
-    """As ``by_automaton`` for ``names(name)`` of any number: grams of the texts meet the names' grams in a hash join.
+def places(grams_, bits: int):
+    """The three places of a gram in a filter of 2^``bits`` bits, from three stretches of its hash."""
+    if isinstance(grams_, np.ndarray):
+        return [(grams_ << np.uint64(at)) >> np.uint64(64 - bits) for at in PLACES]
+    return [F.shiftrightunsigned(F.shiftleft(grams_, at), 64 - bits) for at in PLACES]
 
-    A filter of at most 2^``filter_bits`` bits, made by an aggregate, keeps most
-    grams without a name from the join; false hits end when the name is
-    compared with the signs before the gram.
-    """
-    keyed = _keyed(names.select("name").where("name <> ''").distinct())
+
+def candidates(docs: DataFrame, keyed: DataFrame, key: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+    """(key, m, gram, part, end): the grams of each text that pass the filter over the names' grams, with the signs around them."""
     shape = keyed.groupBy("m").count().collect()  # one row a power of two
     n = sum(r["count"] for r in shape)
-    bits = min(filter_bits, max(10, (16 * n).bit_length()))
+    bits = min(filter_bits, FILTER_BITS, max(10, (16 * n).bit_length()))
     # at most 2^(bits - 6) numbers of 64 bits
-    place = F.shiftrightunsigned("gram", 64 - bits)
-    words = keyed.select(F.shiftright(place, 6).alias("word"), F.pmod(place, F.lit(64)).alias("bit"))
+    words = keyed.select(F.explode(F.array(*places(F.col("gram"), bits))).alias("place"))
+    words = words.select(F.shiftright("place", 6).alias("word"), F.pmod("place", F.lit(64)).alias("bit"))
     words = words.groupBy("word").agg(F.collect_set("bit").alias("bits")).toArrow()  # 64 at most each
     table = np.zeros(1 << bits - 6, dtype=np.uint64)
     for w, each in zip(words.column("word").to_pylist(), words.column("bits").to_pylist()):
         table[w] = sum(1 << int(x) for x in each)
     shipped = docs.sparkSession.sparkContext.broadcast((sorted(r["m"] for r in shape), bits, table))
 
+    def passing(h, bits, table):
+        """Positions of the hashes all of whose places are set."""
+        left = np.arange(len(h))
+        for slot in places(h, bits):
+            slot = slot[left]
+            left = left[(table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        return left
+
     def run(batches):
         lengths, bits, table = shipped.value
         for b in batches:
-            for at, texts in _slices(b, 1):
+            for at, texts in _slices(b, 1, 1 << 19):
                 out = {"row": [], "m": [], "gram": [], "part": [], "end": []}
-                for i, t in zip(at, texts):
-                    signs = _signs(t)
-                    for m in lengths:
-                        h = grams(signs, m)
-                        slot = h >> np.uint64(64 - bits)
-                        hits = np.flatnonzero(table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1))
-                        seen = set()
-                        for p, g in zip(hits.tolist(), h[hits].view(np.int64).tolist()):
-                            part = t[max(0, p - m + 1):p + m]  # a name of this class is shorter than 2 m
-                            if part in seen:
-                                continue
-                            seen.add(part)
-                            for c, v in zip(out.values(), (i, m, g, part, p + m)):
-                                c.append(v)
+                # all texts of a slice in one array; grams over a border are left out by their ends
+                signs = [_signs(t) for t in texts]
+                ends = np.cumsum([len(x) for x in signs])
+                joined = np.concatenate(signs)
+                for m in lengths:
+                    h = grams(joined, m)
+                    hits = passing(h, bits, table)
+                    doc = np.searchsorted(ends, hits, "right")
+                    inside = hits + m <= ends[doc]
+                    hits, doc = hits[inside], doc[inside]
+                    before, seen = -1, set()
+                    for d, p, g in zip(doc.tolist(), (hits - (ends[doc] - np.array([len(x) for x in signs])[doc])).tolist(), h[hits].view(np.int64).tolist()):
+                        if d != before:
+                            before, seen = d, set()
+                        part = texts[d][max(0, p - m + 1):p + m]  # a name of this class is shorter than 2 m
+                        if part in seen:
+                            continue
+                        seen.add(part)
+                        for c, v in zip(out.values(), (at[d], m, g, part, p + m)):
+                            c.append(v)
                 row = pa.array(out["row"], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column(0).take(row), pa.array(out["m"], pa.int32()), pa.array(out["gram"], pa.int64()),
                                                   pa.array(out["part"], pa.string()), pa.array(out["end"], pa.int32())],
                                                  names=[key, "m", "gram", "part", "end"])
 
     fields = [T.StructField("m", T.IntegerType()), T.StructField("gram", T.LongType()), T.StructField("part", T.StringType()), T.StructField("end", T.IntegerType())]
-    met = docs.select(key, text).mapInArrow(run, _found_schema(docs, key, *fields)).join(keyed, ["m", "gram"])
+    return docs.select(key, text).mapInArrow(run, _found_schema(docs, key, *fields))
+
+
+def by_join(docs: DataFrame, names: DataFrame, key: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+    """As ``by_automaton`` for ``names(name)`` of any number: grams of the texts meet the names' grams in a hash join.
+
+    A filter of at most 2^``filter_bits`` bits, made by an aggregate, keeps most
+    grams without a name from the join; false hits end when the name is
+    compared with the signs before the gram.
+    """
+    keyed = _keyed(names.select("name").where("name <> ''").distinct())
+    met = candidates(docs, keyed, key, text, filter_bits).join(keyed, ["m", "gram"])
     met = met.where(F.endswith("part", F.col("name")))
     return met.groupBy(key, "name").agg(F.min(F.col("end") - F.length("name") + 1).cast("int").alias("place"))
 

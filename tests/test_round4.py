@@ -1,5 +1,6 @@
 """Work done once: stored runs; messages rendered without the library."""
 
+import random
 import re
 
 import pytest
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 
 import manifest_spark.registry as Rg
 from conftest import SF_SMALL
+from manifest_spark.operators import names as N
 from manifest_spark.sources import ingest as S
 
 
@@ -41,3 +43,12 @@ def test_plain_messages_are_rendered_without_the_library(monkeypatch):
     for i in range(9):
         name, content = [(p[4], p[5]) for p in S.message_parts(S.render_message(i, f"user{i}@example.com", f"Load {i}", f"doc_{i}.pdf", b"text"))][1]
         assert (name, content) == (f"doc_{i}.PDF" if i % 4 == 2 else f"doc_{i}.pdf", b"text")
+
+
+def test_few_grams_without_a_name_pass_the_filter(spark):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    names = spark.createDataFrame([(word(12),) for _ in range(4000)], "name string")
+    docs = spark.createDataFrame([(i, word(1000)) for i in range(60)] + [(60, ""), (61, None), (62, names.first()[0])], "doc_id long, text string")
+    assert N.candidates(docs, N._keyed(names)).count() < 0.02 * 60 * 993  # one place a gram let one in 17 pass
+    assert sorted(map(tuple, N.by_join(docs, names).collect())) == sorted(map(tuple, N.by_automaton(docs, [r[0] for r in names.collect()]).collect()))
