@@ -85,3 +85,39 @@ def test_strip_removes_what_python_strips(spark):
     assert "regexp_replace" not in plan  # a regex call for each of some thirty short captures a text
     for r in frame.select("text", d.strip(F.col("text")).alias("s"), d.lines(d.strip(F.col("text"))).alias("l")).collect():
         assert (r.s, r.l) == (r.text.strip(), [x.strip() for x in r.text.strip().split("\n") if x.strip()]), r.text
+
+
+NUMBERED = [R.DIAG_WEIGHT_RULES[3], R.PIECES_RULES[4], R.ADDRESS_PAIR_RULES[0], R.ADDRESS_PAIR_RULES[2], R.CONSIGNEE_RULES[0]]
+
+
+def test_numbers_are_tried_once_a_run(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    assert all(rx.anchor_number(p) != p for p in NUMBERED)
+    for p in (r"(\d+)\s*(?:lbs|\d)", r"(\d+)\s*(?:lbs)?", r"(\d+)\s*x?", r"(\d+)(\d)", r"(\d+)\s*(?:a|lbs)", R.DIAG_BOL_RULES[5]):
+        assert rx.anchor_number(p) == p
+    rng = random.Random(5)
+    words = ["1", "12", "12345", "123456", "7", " ", " ", "\n", "\n", "\x1c", "lbs", "LB", "pieces", "piece", "MAIN", "A", "DRIVE", "ST", "NY", ",", ", NJ ", "INDUSTRIES", ".", "é", "٣"]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randint(0, 24))) for _ in range(1500)]
+    texts += ["1 A DRIVE\nNY 123456 A DRIVE\nNY 12345", "1 AB ST\nNY, NY 123457 CD ST\nNY, NY 54321", "5lbs5lbs 55 lbs"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    forms = [f for p in NUMBERED for f in (rx.java(p),)]
+    every = lambda f: F.regexp_extract_all("text", F.lit(f), F.lit(1))
+    rows = frame.select("text", F.array(*map(every, forms)).alias("u"), F.when(F.length("text") == F.octet_length("text"), F.array(*[every(rx.for_ascii(f)) for f in forms])).alias("a")).collect()
+    for r in rows:
+        wanted = [[m[1] for m in re.finditer(p, r.text, re.I)] for p in NUMBERED]
+        assert r.u == wanted and r.a in (None, wanted), r.text
+
+
+def test_long_runs_of_digits_take_time_in_proportion(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from manifest_spark.functions.dialect import SparkX
+    frame = spark.createDataFrame([("7" * 60_000 + " lb",)], "text string")
+    for p in NUMBERED:
+        began = time.time()
+        frame.select(SparkX().rx_all(F.col("text"), p)).collect()
+        assert time.time() - began < 2, p  # from each digit to the end and back: billions of steps
